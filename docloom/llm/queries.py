@@ -7,12 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docloom.llm.mainbody import main_body
+from docloom.llm.quality import text_quality
+from docloom.llm.residue import find_residue
 from docloom.llm.splitting import split_oversized
 from docloom.shared import table
 
 PARENT_LIMIT, CHILD_LIMIT, OVERLAP = 2048, 256, 32
 
 
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return find_residue(table(spark, d, "extracted").select("page_id", "text", "title", "mod", "http_status")).where("is_residue").select("page_id")
+
+
+def p1_kept(spark: SparkSession, d: str) -> DataFrame:
+    """The records that stay, with what share of them is residue (below the limit in every line)."""
+    return find_residue(table(spark, d, "extracted").select("page_id", "text", "title", "mod", "http_status")).where("NOT is_residue").select("page_id", "http_status", "text")
+
+
 def _p3_pieces(spark: SparkSession, d: str, *more: str) -> DataFrame:
     parents = table(spark, d, "parents").select(F.lit("parent").alias("item_kind"), F.col("parent_id").alias("item_id"), "text")
     children = table(spark, d, "children").select(F.lit("child").alias("item_kind"), F.col("chunk_id").alias("item_id"), "text")
@@ -27,8 +39,30 @@ def p3_pieces(spark: SparkSession, d: str) -> DataFrame:
     return _p3_pieces(spark, d).where("n_pieces > 1").drop("text")
 
 
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    pages = table(spark, d, "extracted").select("page_id", "text", "markdown", "title")
+    return main_body(pages, with_text=False).select("page_id", F.explode("other_lines").alias("line_no"))
+
+
+def p6_body(spark: SparkSession, d: str) -> DataFrame:
+    pages = table(spark, d, "extracted").select("page_id", "text", "markdown", "title")
+    return main_body(pages).select("page_id", "body")
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return _p9(spark, d).where("NOT is_prose").select("doc_id")
+
+
+def p9_statistics(spark: SparkSession, d: str) -> DataFrame:
+    return _p9(spark, d).drop("text")
+
+
+def _p9(spark: SparkSession, d: str) -> DataFrame:
+    return text_quality(table(spark, d, "documents").select("doc_id", "text"), table(spark, d, "common_words"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p3_found": p3_found, "p3_pieces": p3_pieces}
+    return {f.__name__: f for f in (p1_found, p1_kept, p3_found, p3_pieces, p6_found, p6_body, p9_found, p9_statistics)}
 
 
 _TOKENS = r"len(regexp_extract_all(text, '[A-Za-z0-9_]+|[^A-Za-z0-9_ \t\r\n]'))"
