@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from docloom.llm.mainbody import main_body
 from docloom.llm.quality import text_quality
+from docloom.llm.repeated import mine, without_repeated
 from docloom.llm.residue import find_residue
 from docloom.llm.splitting import split_oversized
 from docloom.shared import table
@@ -25,6 +26,22 @@ def p1_kept(spark: SparkSession, d: str) -> DataFrame:
     return find_residue(table(spark, d, "extracted").select("page_id", "text", "title", "mod", "http_status")).where("NOT is_residue").select("page_id", "http_status", "text")
 
 
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    pages = table(spark, d, "extracted").select("page_id", "hostname", "text")
+    # every line of a longer frequent sequence that has three words is itself a frequent sequence
+    lines = mine(pages, "page_id", "hostname", "text").lines
+    return lines.where("k = 1").select(F.col("page").alias("page_id"), F.col("n").alias("line_no"))
+
+
+def p2_sequences(spark: SparkSession, d: str) -> DataFrame:
+    return mine(table(spark, d, "extracted").select("page_id", "hostname", "text"), "page_id", "hostname", "text").sequences
+
+
+def p2_clean(spark: SparkSession, d: str) -> DataFrame:
+    pages = table(spark, d, "extracted").select("page_id", "hostname", "text")
+    return without_repeated(pages, "page_id", "hostname", "text").select("page_id", "clean_text", "n_removed")
+
+
 def _p3_pieces(spark: SparkSession, d: str, *more: str) -> DataFrame:
     parents = table(spark, d, "parents").select(F.lit("parent").alias("item_kind"), F.col("parent_id").alias("item_id"), "text")
     children = table(spark, d, "children").select(F.lit("child").alias("item_kind"), F.col("chunk_id").alias("item_id"), "text")
@@ -62,7 +79,7 @@ def _p9(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_kept, p3_found, p3_pieces, p6_found, p6_body, p9_found, p9_statistics)}
+    return {f.__name__: f for f in (p1_found, p1_kept, p2_found, p2_sequences, p2_clean, p3_found, p3_pieces, p6_found, p6_body, p9_found, p9_statistics)}
 
 
 _TOKENS = r"len(regexp_extract_all(text, '[A-Za-z0-9_]+|[^A-Za-z0-9_ \t\r\n]'))"
@@ -70,5 +87,12 @@ _TOKENS = r"len(regexp_extract_all(text, '[A-Za-z0-9_]+|[^A-Za-z0-9_ \t\r\n]'))"
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "p2_found": r"""
+            WITH l AS (
+                SELECT page_id, regexp_replace(lower(trim(hostname)), '^www\.', '') AS host, string_split(text, chr(10)) AS ls FROM extracted WHERE hostname IS NOT NULL AND text IS NOT NULL
+            ), e AS (SELECT page_id, host, unnest(ls) AS line, generate_subscripts(ls, 1) AS line_no FROM l),
+            k AS (SELECT page_id, host, line_no, regexp_replace(lower(line), '[^\p{L}]', '', 'g') AS letters FROM e WHERE len(regexp_extract_all(line, '\p{L}+')) >= 3),
+            f AS (SELECT host, letters FROM k GROUP BY host, letters HAVING count(DISTINCT page_id) >= 10)
+            SELECT page_id, CAST(line_no AS INTEGER) AS line_no FROM k JOIN f USING (host, letters)""",
         "p3_found": f"SELECT 'parent' AS item_kind, parent_id AS item_id FROM parents WHERE {_TOKENS} > 2048 UNION ALL SELECT 'child', chunk_id FROM children WHERE {_TOKENS} > 256",
     }
