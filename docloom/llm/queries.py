@@ -8,12 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.llm.mainbody import main_body
+from docloom.llm.mixing import mix
+from docloom.llm.packing import pack
 from docloom.llm.quality import text_quality
 from docloom.llm.repeated import mine, without_repeated
 from docloom.llm.residue import find_residue
 from docloom.llm.splitting import split_oversized
 from docloom.shared import table
 
+CAPACITY = 2048
 PARENT_LIMIT, CHILD_LIMIT, OVERLAP = 2048, 256, 32
 
 
@@ -66,6 +69,26 @@ def p6_body(spark: SparkSession, d: str) -> DataFrame:
     return main_body(pages).select("page_id", "body")
 
 
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return pack(table(spark, d, "documents"), "doc_id", "text", CAPACITY).where("piece_no = 2").select("doc_id")
+
+
+def p7_containers(spark: SparkSession, d: str) -> DataFrame:
+    return pack(table(spark, d, "documents"), "doc_id", "text", CAPACITY)
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return mix(table(spark, d, "documents"), table(spark, d, "mix_targets"), "doc_id", "text").shares.where("NOT reachable").select("source")
+
+
+def p8_uses(spark: SparkSession, d: str) -> DataFrame:
+    return mix(table(spark, d, "documents"), table(spark, d, "mix_targets"), "doc_id", "text").uses
+
+
+def p8_shares(spark: SparkSession, d: str) -> DataFrame:
+    return mix(table(spark, d, "documents"), table(spark, d, "mix_targets"), "doc_id", "text").shares
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return _p9(spark, d).where("NOT is_prose").select("doc_id")
 
@@ -79,7 +102,7 @@ def _p9(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_kept, p2_found, p2_sequences, p2_clean, p3_found, p3_pieces, p6_found, p6_body, p9_found, p9_statistics)}
+    return {f.__name__: f for f in (p1_found, p1_kept, p2_found, p2_sequences, p2_clean, p3_found, p3_pieces, p6_found, p6_body, p7_found, p7_containers, p8_found, p8_uses, p8_shares, p9_found, p9_statistics)}
 
 
 _TOKENS = r"len(regexp_extract_all(text, '[A-Za-z0-9_]+|[^A-Za-z0-9_ \t\r\n]'))"
@@ -95,4 +118,9 @@ def oracle_sql() -> dict[str, str]:
             f AS (SELECT host, letters FROM k GROUP BY host, letters HAVING count(DISTINCT page_id) >= 10)
             SELECT page_id, CAST(line_no AS INTEGER) AS line_no FROM k JOIN f USING (host, letters)""",
         "p3_found": f"SELECT 'parent' AS item_kind, parent_id AS item_id FROM parents WHERE {_TOKENS} > 2048 UNION ALL SELECT 'child', chunk_id FROM children WHERE {_TOKENS} > 256",
+        "p7_found": f"SELECT doc_id FROM documents WHERE {_TOKENS} > 2048",
+        "p8_found": f"""
+            WITH d AS (SELECT lower(trim(source)) AS s, {_TOKENS} AS n FROM documents WHERE source IS NOT NULL),
+            h AS (SELECT s, sum(n) AS n FROM d GROUP BY s)
+            SELECT t.source FROM mix_targets t LEFT JOIN h ON h.s = lower(trim(t.source)) WHERE t.max_repeats * coalesce(h.n, 0) < t.target_share * (SELECT sum(n) FROM d)""",
     }
