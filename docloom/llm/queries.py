@@ -15,6 +15,7 @@ from docloom.llm.quality import text_quality
 from docloom.llm.repeated import mine, without_repeated
 from docloom.llm.residue import find_residue
 from docloom.llm.splitting import split_oversized
+from docloom.llm.vectors import most_similar
 from docloom.shared import table
 
 CAPACITY = 2048
@@ -60,6 +61,12 @@ def p3_pieces(spark: SparkSession, d: str) -> DataFrame:
     return _p3_pieces(spark, d).where("n_pieces > 1").drop("text")
 
 
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    near = most_similar(table(spark, d, "children").select("chunk_id", "embedding"), "chunk_id", "embedding", k=5, min_similarity=0.9)
+    pair = near.select(F.least("chunk_id", "neighbour").alias("chunk_id_a"), F.greatest("chunk_id", "neighbour").alias("chunk_id_b"))
+    return pair.distinct()
+
+
 P5_KINDS = {"parent": ("parents", "parent_id"), "child": ("children", "chunk_id")}
 
 
@@ -122,7 +129,7 @@ def _p9(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_kept, p2_found, p2_sequences, p2_clean, p3_found, p3_pieces, p5_found, p5_classes, p6_found, p6_body, p7_found, p7_containers, p8_found, p8_uses, p8_shares, p9_found, p9_statistics)}
+    return {f.__name__: f for f in (p1_found, p1_kept, p2_found, p2_sequences, p2_clean, p3_found, p3_pieces, p4_found, p5_found, p5_classes, p6_found, p6_body, p7_found, p7_containers, p8_found, p8_uses, p8_shares, p9_found, p9_statistics)}
 
 
 _TOKENS = r"len(regexp_extract_all(text, '[A-Za-z0-9_]+|[^A-Za-z0-9_ \t\r\n]'))"
