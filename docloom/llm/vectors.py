@@ -15,11 +15,13 @@ from pyspark.sql import functions as F
 from docloom.shared import durable, small
 
 #: Vectors that the codebooks are fitted on: a bounded sample, the smallest by a hash. All vectors are indexed.
-SAMPLE = 32_768
-BOOKS, WORDS = 8, 64
+SAMPLE = 16_384
+BOOKS, WORDS = 16, 64
 #: Cells that each vector is put into, and vectors of a cell beyond which it is divided.
 BEAM = 8
 CELL = 4_096
+#: Codes that a cell is told apart by at most; ten fit into its number.
+MAX_DEPTH = 10
 #: Vectors that cells hold on average at most; deeper prefixes of the codes make more cells for more vectors.
 OCCUPANCY = 64
 
@@ -73,7 +75,7 @@ class Codebooks:
         return s / np.maximum(norms, 1e-6)
 
 
-def fit(sample: np.ndarray, books: int = BOOKS, words: int = WORDS, rounds: int = 8, seed: int = 7) -> Codebooks:
+def fit(sample: np.ndarray, books: int = BOOKS, words: int = WORDS, rounds: int = 6, seed: int = 7) -> Codebooks:
     """Codebooks for unit vectors: k-means of what the ones before leave over."""
     rng = np.random.default_rng(seed)
     rest = np.asarray(sample, np.float32).copy()
@@ -113,7 +115,7 @@ def train(vectors: DataFrame, column: str, dim: int, size: int = SAMPLE) -> Code
 
 
 def _encoder(books: Codebooks, dim: int, depth: int, beam: int):
-    """Arrow batches (node, vector) to (node, up, cell, code, norm), a row for each of the ``beam`` best cells."""
+    """Arrow batches (node, vector) to (node, up, cell, code_a, code_b, norm), a row for each of the ``beam`` best cells."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -125,11 +127,12 @@ def _encoder(books: Codebooks, dim: int, depth: int, beam: int):
                 key = np.zeros(cells.shape[:2], np.int64)
                 for j in range(depth):
                     up = key
-                    key = key * 256 + cells[:, :, j] + 1
-                packed = np.ascontiguousarray(codes).view(np.int64).ravel() if codes.shape[1] == 8 else np.array([c.tobytes() for c in codes])
+                    key = key * (WORDS + 1) + cells[:, :, j] + 1
+                packed = np.ascontiguousarray(codes).view(np.int64)  # eight codes a number
                 each = np.repeat(np.arange(len(batch)), w)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(each)), pa.array(up.ravel()), pa.array(key.ravel()), pa.array(packed[each]), pa.array(norms[each])], names=["node", "up", "cell", "code", "norm"]
+                    [batch.column(0).take(pa.array(each)), pa.array(up.ravel()), pa.array(key.ravel()), pa.array(packed[each, 0]), pa.array(packed[each, 1]), pa.array(norms[each])],
+                    names=["node", "up", "cell", "code_a", "code_b", "norm"],
                 )
 
     return run
@@ -143,7 +146,7 @@ def _scorer(books: Codebooks, keep: int, least: float):
 
     def run(cell: pa.Table) -> pa.Table:
         node = cell.column("node").to_numpy()
-        codes = cell.column("code").to_numpy().view(np.uint8).reshape(-1, 8)
+        codes = np.column_stack([cell.column("code_a").to_numpy(), cell.column("code_b").to_numpy()]).view(np.uint8)
         norms = cell.column("norm").to_numpy()
         n = len(node)
         own = books.decode(codes) / np.maximum(norms, 1e-6)[:, None]
@@ -165,12 +168,12 @@ def _scorer(books: Codebooks, keep: int, least: float):
     return run
 
 
-def depth_for(n: int, words: int = WORDS, books: int = BOOKS) -> int:
+def depth_for(n: int, words: int = WORDS) -> int:
     """Codes that make up a cell, so that cells hold about ``OCCUPANCY`` vectors or fewer however many there are."""
     depth = 1
-    while depth < books and n / words**depth > OCCUPANCY:
+    while depth < MAX_DEPTH and n / words**depth > OCCUPANCY:
         depth += 1
-    return max(depth, min(2, books))
+    return max(depth, 2)
 
 
 def candidates(nodes: DataFrame, books: Codebooks, dim: int, n: int, keep: int, least: float, cell_size: int = CELL) -> DataFrame:
@@ -184,7 +187,7 @@ def candidates(nodes: DataFrame, books: Codebooks, dim: int, n: int, keep: int,
     todo, hot_before = nodes, None
     score = _scorer(books, keep, least)
     while True:
-        cells = todo.mapInArrow(_encoder(books, dim, depth, BEAM), "node long, up long, cell long, code long, norm float")
+        cells = todo.mapInArrow(_encoder(books, dim, depth, BEAM), "node long, up long, cell long, code_a long, code_b long, norm float")
         if hot_before is not None:
             cells = cells.join(small(hot_before.select(F.col("cell").alias("up"))), "up", "left_semi")
         cells = durable(cells.drop("up"))
@@ -194,11 +197,11 @@ def candidates(nodes: DataFrame, books: Codebooks, dim: int, n: int, keep: int,
             break
         found.append(cells.join(small(hot.select("cell")), "cell", "left_anti").groupBy("cell").applyInArrow(score, _SCORED))
         rest = cells.join(small(hot.select("cell", "count")), "cell")
-        if depth >= BOOKS:
+        if depth >= MAX_DEPTH:
             half = max(1, cell_size // 2)
             own = rest.withColumn("k", F.ceil(F.col("count") / half).cast("int")).withColumn("i", F.pmod(F.xxhash64("node", F.lit(3)), F.col("k")).cast("int"))
             met = own.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
-            blocks = met.select("node", "code", "norm", "cell", F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi"))
+            blocks = met.select("node", "code_a", "code_b", "norm", "cell", F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi"))
             found.append(blocks.groupBy("cell", "lo", "hi").applyInArrow(score, _SCORED))
             break
         todo = durable(nodes.join(rest.select("node").distinct(), "node", "left_semi"))
@@ -212,7 +215,7 @@ def cosine(a: Column, b: Column) -> Column:
     return d(a, b) / F.sqrt(d(a, a) * d(b, b))
 
 
-def most_similar(vectors: DataFrame, key: str, column: str, k: int = 5, min_similarity: float = -1.0, dim: int = 64, slack: float = 0.3) -> DataFrame:
+def most_similar(vectors: DataFrame, key: str, column: str, k: int = 5, min_similarity: float = -1.0, dim: int = 64, slack: float = 0.25) -> DataFrame:
     """``key``, ``neighbour``, ``similarity``, ``rank``: the ``k`` most similar other rows of every row.
 
     Codebooks are fitted on ``SAMPLE`` vectors; every vector is encoded by beam search and compared, by lookup tables
