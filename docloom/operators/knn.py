@@ -60,7 +60,7 @@ def exact_top_k(queries: DataFrame, corpus: DataFrame, key: str, vector: str, k:
             flush()
     flush()
     if not parts:
-        parts.append(against([], np.zeros((0, 1))))
+        parts.append(corpus.sparkSession.createDataFrame([], f"query {kind}, neighbour {kind}, distance double"))
     found = parts[0]
     for p in parts[1:]:
         found = found.unionByName(p)

@@ -631,6 +631,27 @@ def nearest_ties(s: SparkSession, d: str) -> DataFrame:
     return knn.tie_sets(_near(s, d)).select("query", "neighbour")
 
 
+# Streams ----------------------------------------------------------------------------------------------------------
+
+
+@query("SELECT CAST(date_trunc('day', CAST(fetched_at AS TIMESTAMP)) AS DATE) AS day, version, error IS NULL AS ok, count(*) AS n FROM fetch_manifest GROUP BY ALL")
+def streamed_outcomes(s: SparkSession, d: str) -> DataFrame:
+    """The captures as a stream: a windowed aggregate by event time, run until nothing new is there."""
+    from uuid import uuid4
+
+    from docloom.shared import shared_dir
+    from docloom.streaming import incremental as st
+
+    base = f"{shared_dir(s)}/stream-{uuid4().hex}"
+    # a pattern, since a stream wants folders or patterns and the table may be one file
+    arriving = st.read_arriving(s, f"{d}/fetch_manifest.parque[t]", "version string, fetched_at string, error string")
+    q = st.run_to_table(st.daily_outcomes(arriving), f"{base}/out", f"{base}/checkpoint", lambda x: x.select(F.to_date("w.start").alias("day"), "version", "ok", "n"))
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+    return s.read.parquet(f"{base}/out")
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
