@@ -36,16 +36,19 @@ class Codebooks:
         m, k, d = self.words.shape
         self.flat = np.ascontiguousarray(self.words.reshape(m * k, d))
         self.squares = (self.words**2).sum(2)
+        for i in range(m):  # a word that a book has twice is used once, so that a beam holds different sums
+            _, first = np.unique(self.words[i].round(6), axis=0, return_index=True)
+            self.squares[i, np.setdiff1d(np.arange(k), first)] = np.inf
         self.gram = np.ascontiguousarray(2 * (self.flat @ self.flat.T)).reshape(m, k, m, k)
 
-    def encode(self, x: np.ndarray, beam: int, depth: int) -> tuple[np.ndarray, np.ndarray]:
-        """Codes by beam search, and the ``beam`` best prefixes of ``depth`` codes, both of unit vectors ``x``."""
+    def encode(self, x: np.ndarray, beam: int, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Codes by beam search, the ``beam`` best prefixes of ``depth`` codes, and which of these there are."""
         m, k, _ = self.words.shape
         n = len(x)
         dots = -2 * (x @ self.flat.T).reshape(n, m, k)
         codes = np.zeros((n, 1, 0), np.uint8)
         error = np.zeros((n, 1), np.float32)
-        prefixes = codes
+        prefixes, there = codes, np.ones((n, 1), bool)
         for i in range(m):
             e = error[:, :, None] + (dots[:, i] + self.squares[i])[:, None, :]
             for j in range(i):
@@ -59,8 +62,8 @@ class Codebooks:
             before = np.take_along_axis(codes, (at // k)[:, :, None], 1)
             codes = np.concatenate([before, (at % k).astype(np.uint8)[:, :, None]], axis=2)
             if i + 1 == depth:
-                prefixes = codes
-        return codes[:, 0], prefixes
+                prefixes, there = codes, np.isfinite(error)
+        return codes[:, 0], prefixes, there
 
     def decode(self, codes: np.ndarray) -> np.ndarray:
         return self.words[np.arange(codes.shape[1]), codes].sum(1)
@@ -121,17 +124,16 @@ def _encoder(books: Codebooks, dim: int, depth: int, beam: int):
         for whole in batches:
             for at in range(0, len(whole), 2000):
                 batch = whole.slice(at, 2000)
-                codes, cells = books.encode(_matrix(batch.column(1), dim), beam, depth)
+                codes, cells, there = books.encode(_matrix(batch.column(1), dim), beam, depth)
                 norms = np.linalg.norm(books.decode(codes), axis=1).astype(np.float32)
-                w = cells.shape[1]
-                key = np.zeros(cells.shape[:2], np.int64)
+                key = up = np.zeros(cells.shape[:2], np.int64)
                 for j in range(depth):
                     up = key
                     key = key * (WORDS + 1) + cells[:, :, j] + 1
                 packed = np.ascontiguousarray(codes).view(np.int64)  # eight codes a number
-                each = np.repeat(np.arange(len(batch)), w)
+                each, _ = np.nonzero(there)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(each)), pa.array(up.ravel()), pa.array(key.ravel()), pa.array(packed[each, 0]), pa.array(packed[each, 1]), pa.array(norms[each])],
+                    [batch.column(0).take(pa.array(each)), pa.array(up[there]), pa.array(key[there]), pa.array(packed[each, 0]), pa.array(packed[each, 1]), pa.array(norms[each])],
                     names=["node", "up", "cell", "code_a", "code_b", "norm"],
                 )
 
@@ -179,7 +181,8 @@ def depth_for(n: int, words: int = WORDS) -> int:
 def candidates(nodes: DataFrame, books: Codebooks, dim: int, n: int, keep: int, least: float, cell_size: int = CELL) -> DataFrame:
     """Pairs (a, b, s): the best approximate neighbours of every node among those that share a cell with it.
 
-    A cell is a prefix of the codes, and each node is in the ``BEAM`` cells that fit it best. Cells with more than
+    A cell is a prefix of the codes, and each node is in the ``BEAM`` cells, for
+    each code beyond the first, that fit it best. Cells with more than
     ``cell_size`` nodes are divided by one more code, their nodes being encoded again; cells that all codes don't
     divide are compared whole, in blocks.
     """
@@ -187,7 +190,8 @@ def candidates(nodes: DataFrame, books: Codebooks, dim: int, n: int, keep: int,
     todo, hot_before = nodes, None
     score = _scorer(books, keep, least)
     while True:
-        cells = todo.mapInArrow(_encoder(books, dim, depth, BEAM), "node long, up long, cell long, code_a long, code_b long, norm float")
+        # deeper cells are smaller, and close vectors more often apart in one code
+        cells = todo.mapInArrow(_encoder(books, dim, depth, BEAM * (depth - 1)), "node long, up long, cell long, code_a long, code_b long, norm float")
         if hot_before is not None:
             cells = cells.join(small(hot_before.select(F.col("cell").alias("up"))), "up", "left_semi")
         cells = durable(cells.drop("up"))
@@ -234,7 +238,7 @@ def most_similar(vectors: DataFrame, key: str, column: str, k: int = 5, min_simi
     total = counts.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
     copied = small(durable(counts.where("n > 1").select("node", "first")))
     nodes = base.select("key", F.xxhash64("v").alias("node"), "v").join(copied, "node", "left").where("first IS NULL OR key = first").select("node", "v")
-    books = train(base, "v", dim)
+    books = train(nodes, "v", dim)
     keep = 4 * k
     scored = candidates(nodes, books, dim, total[0], keep, min_similarity - slack)
     best = scored.groupBy("a", "b").agg(F.max("s").alias("s"))
