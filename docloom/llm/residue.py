@@ -23,6 +23,7 @@ PHRASES = {
         is down for upkeep|down for maintenance|is closed for repairs|is closed for|back soon, hopefully|we will be back in|be back soon
         has expired or lacks the rights for this view|your session with|session has expired|access to|has been denied by rule|has been denied|you are sending requests too quickly|then retry|wait
         this account|has been suspended|contact billing about|domain parked|has parked this name|make an offer with code|the owner of|this domain is for sale
+        upstream|timed out while fetching|connection timed out|request timed out|timed out|connection refused|connection reset|host not found|rate limit exceeded|request blocked|maintenance mode|scheduled maintenance|content is not available|page is not available|no longer available
         fatal: template|missing while building|traceback (most recent call last)|fatal error|uncaught exception|stack trace|error|minutes|seconds
         la página|no existe o ha sido movida|página no encontrada|no se ha encontrado|error interno del servidor
         seite nicht gefunden|die seite|seite|wurde leider nicht gefunden|leider|wurde nicht gefunden|existiert nicht|interner serverfehler|es ist ein fehler aufgetreten
@@ -34,11 +35,13 @@ PHRASES = {
         please turn on scripts in your browser to read about|please turn on scripts in your browser|turn on javascript|turn javascript on and press|to open|to read about|bitte javascript aktivieren, um|javascript aktivieren|zu sehen
         just a moment while|just a moment|is verified|is an interactive page|it will not work without javascript|without javascript|<noscript>|</noscript>|enable js to load|enable js|checking that you are human before opening|checking your browser
         your browser is too old to display|update it or allow scripting|javascript is required|javascript is disabled|requires javascript|please enable cookies|reader
+        please wait while we check|please wait|redirecting|ddos protection by|complete the captcha|captcha|enable scripts|scripts are disabled|scripts are blocked|por favor activa|veuillez activer
         habilita javascript|activa javascript|active javascript|activez javascript|请启用javascript|請啟用javascript|请开启javascript|請開啟javascript|ray
     """,
     "filler": """
         this is dummy content used to test the layout of|dummy content|insert a short summary of|and two pictures|todo write something about|write something about|todo|tbd|describe the|here. replace this sample paragraph before publishing|replace this sample|sample paragraph
         your paragraph on|goes in this box|placeholder copy for|placeholder|do not ship|text for|coming soon, check back later|coming soon|check back later|your text here|add your text|lorem ipsum|under construction
+        content goes here|text goes here|goes here|sample text|example text|insert text here|insert text|replace me|change me|lipsum|to be written|to be added|stub
         hier steht|blindtext|platzhalter|texto de ejemplo|texte de remplissage|此处填写|此處填寫|占位
     """,
     "value": "undefined|[object object]|nan|null|none",
