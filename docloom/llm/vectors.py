@@ -20,8 +20,8 @@ BOOKS, WORDS = 16, 64
 #: Cells that each vector is put into, and vectors of a cell beyond which it is divided.
 BEAM = 8
 CELL = 4_096
-#: Codes that a cell is told apart by at most; ten fit into its number.
-MAX_DEPTH = 10
+#: Codes that a cell is told apart by at most: what so many codes don't divide is nearly equal.
+MAX_DEPTH = 6
 #: Vectors that cells hold on average at most; deeper prefixes of the codes make more cells for more vectors.
 OCCUPANCY = 64
 
@@ -187,11 +187,12 @@ def candidates(nodes: DataFrame, books: Codebooks, dim: int, n: int, keep: int,
     divide are compared whole, in blocks.
     """
     found, depth = [], depth_for(n)
+    # deeper cells are smaller, and close vectors more often apart in one code
+    beam = BEAM * (depth - 1)
     todo, hot_before = nodes, None
     score = _scorer(books, keep, least)
     while True:
-        # deeper cells are smaller, and close vectors more often apart in one code
-        cells = todo.mapInArrow(_encoder(books, dim, depth, BEAM * (depth - 1)), "node long, up long, cell long, code_a long, code_b long, norm float")
+        cells = todo.mapInArrow(_encoder(books, dim, depth, beam), "node long, up long, cell long, code_a long, code_b long, norm float")
         if hot_before is not None:
             cells = cells.join(small(hot_before.select(F.col("cell").alias("up"))), "up", "left_semi")
         cells = durable(cells.drop("up"))
