@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+from urllib.parse import urljoin
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -48,3 +50,43 @@ def yaml_unscalar(c: Column) -> Column:
 def table_cell(c: str) -> Column:
     """Text for a cell of a Markdown table."""
     return F.replace(F.replace(F.col(c), F.lit("|"), F.lit("\\|")), F.lit("\n"), F.lit(" "))
+
+
+def aligned(lines: str, headings: str) -> Column:
+    """Headings (structs of level and text) put onto lines: a struct of the marked ``lines``, ``matched``, ``missed``.
+
+    Each heading goes to the first line after the last heading's that equals it, outer blanks aside; one that finds
+    none leaves the place where the search goes on as it is.
+    """
+    trimmed = F.transform(lines, lambda x: F.trim(x))
+
+    def step(acc: Column, h: Column) -> Column:
+        rest = F.slice(acc["left"], acc["at"] + 1, F.greatest(F.size(acc["left"]) - acc["at"], F.lit(0)))
+        k = F.array_position(rest, F.trim(h["text"])).cast("int")
+        hit = F.coalesce(k > 0, F.lit(False))
+        place = F.struct((acc["at"] + k).alias("line"), h["level"].alias("level"))
+        return F.struct(
+            acc["raw"].alias("raw"),
+            acc["left"].alias("left"),
+            F.when(hit, acc["at"] + k).otherwise(acc["at"]).alias("at"),
+            F.when(hit, F.concat(acc["places"], F.array(place))).otherwise(acc["places"]).alias("places"),
+            F.when(hit, acc["missed"]).otherwise(F.concat(acc["missed"], F.array(h["text"]))).alias("missed"),
+        )
+
+    none = F.array().cast("array<struct<line: int, level: int>>")
+    start = F.struct(F.col(lines).alias("raw"), trimmed.alias("left"), F.lit(0).alias("at"), none.alias("places"), F.array().cast("array<string>").alias("missed"))
+
+    def finish(acc: Column) -> Column:
+        level = F.map_from_entries(acc["places"])
+        marked = F.transform(acc["raw"], lambda x, i: F.when(level[i + 1].isNotNull(), F.concat(F.repeat(F.lit("#"), level[i + 1]), F.lit(" "), F.trim(x))).otherwise(x))
+        return F.struct(marked.alias("marked"), F.size(acc["places"]).alias("matched"), acc["missed"].alias("missed"))
+
+    return F.aggregate(headings, start, step, finish)
+
+
+def resolved(base: str, href: str) -> Column:
+    """A link's address, seen from a page's."""
+    def join(b: pd.Series, h: pd.Series) -> pd.Series:
+        return pd.Series([None if x is None or y is None else urljoin(x, y) for x, y in zip(b, h)])
+
+    return F.pandas_udf(join, "string")(base, href)

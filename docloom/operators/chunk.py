@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from docloom.errors import InputError
 from docloom.functions.text import content_of, level_of
 from docloom.functions.tokens import TOKEN, token_count
 
@@ -110,3 +111,10 @@ def sub_sections(children_: DataFrame, parents: DataFrame) -> DataFrame:
     path = live.groupBy("chunk_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "heading"))), lambda x: x["heading"]), SEPARATOR).alias("sub"))
     base = children_.join(parents.select("parent_id", F.col("section").alias("parent_section")), "parent_id")
     return base.join(path, "chunk_id", "left").withColumn("path", F.concat_ws(SEPARATOR, "parent_section", "sub")).drop("sub", "parent_section")
+
+
+def require_limits(parents: DataFrame, pieces: DataFrame, parent_limit: int, child_limit: int) -> None:
+    """Raises ``InputError`` with the first ids if any chunk is over its limit, so that nothing of a batch is written."""
+    over = parents.where(F.col("token_count") > parent_limit).select(F.col("parent_id").alias("id")).unionByName(pieces.where(F.col("token_count") > child_limit).select(F.col("chunk_id").alias("id")))
+    if found := over.limit(5).collect():
+        raise InputError("over the limit: " + ", ".join(r.id for r in found))

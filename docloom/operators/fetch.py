@@ -39,8 +39,13 @@ def excluded_urls(sites: DataFrame) -> DataFrame:
     return sites.select("version", F.explode("exclude").alias("u")).select("version", F.regexp_replace("u", "/+$", "").alias("bare_url")).distinct()
 
 
-def disposition(pages: DataFrame, sites: DataFrame, url: str = "source", text: str = "text") -> DataFrame:
-    """``pages`` with ``disposition``: excluded, error (no text), navigation (an index page), or output.
+#: Shorter texts that are more than half links are navigation.
+SHORT_TEXT, LINK_SHARE = 200, 0.5
+
+
+def disposition(pages: DataFrame, sites: DataFrame, url: str = "source", text: str = "text", density: str | None = None) -> DataFrame:
+    """``pages`` with ``disposition``: excluded, error (no text), navigation (an index page, or short and mostly links
+    where there is a column of link densities), or output.
 
     The first that holds counts. The excluded addresses come from the sites' settings and are broadcast while small.
     """
@@ -49,8 +54,11 @@ def disposition(pages: DataFrame, sites: DataFrame, url: str = "source", text: s
     marked = bare.join(gone, ["version", "bare_url"], "left")
     path = F.regexp_replace(url_path(url), "/+$", "")
     kind = (
-        F.when(F.col("_gone").isNotNull(), "excluded_by_sources").when(F.coalesce(F.trim(text), F.lit("")) == "", "extraction_error").when(path.endswith("-index"), "url_ends_with_index").otherwise("output")
+        F.when(F.col("_gone").isNotNull(), "excluded_by_sources").when(F.coalesce(F.trim(text), F.lit("")) == "", "extraction_error").when(path.endswith("-index"), "url_ends_with_index")
     )
+    if density:
+        kind = kind.when((F.length(text) < SHORT_TEXT) & (F.col(density) > LINK_SHARE), "short_text_high_link_density")
+    kind = kind.otherwise("output")
     return marked.withColumn("disposition", kind).drop("_gone", "bare_url")
 
 

@@ -120,3 +120,25 @@ def fingerprint(rows: DataFrame, key: str, columns: list[str]) -> DataFrame:
     d = row_digests(rows, key, columns)
     sums = d.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(part(1)), F.lit(0)).alias("a"), F.coalesce(F.sum(part(16)), F.lit(0)).alias("b"))
     return sums.select("n", F.concat_ws("-", F.col("a").cast("string"), F.col("b").cast("string")).alias("fingerprint"))
+
+
+def audit(parents: DataFrame, children: DataFrame, config: Config) -> DataFrame:
+    """(check, ok, detail) of the tables as they are, whatever wrote them: one row a check."""
+
+    def counted(check: str, rows: DataFrame, want: int = 0) -> DataFrame:
+        return rows.agg(F.count(F.lit(1)).alias("n")).select(F.lit(check).alias("check"), (F.col("n") == want).alias("ok"), F.col("n").cast("string").alias("detail"))
+
+    strings = [c for c in PARENT_COLUMNS if c != "token_count"]
+    parts = [
+        counted("parents of bad shape", shape_faults(parents, "parent_id", strings)),
+        counted("children of bad shape", shape_faults(children, "chunk_id", ["chunk_id", *strings])),
+        counted("repeated parents", duplicate_keys(parents, "parent_id")),
+        counted("repeated children", duplicate_keys(children, "chunk_id")),
+        counted("orphans", orphans(parents, children)),
+        counted("childless parents", childless(parents, children)),
+        counted("misplaced children", misplaced(parents, children)),
+        counted("faulty vectors", vector_faults(children, config)),
+        counted("models", model_pairs(children), 1),
+        counted("versions of one table only", parents.select("version").distinct().unionAll(children.select("version").distinct()).groupBy("version").count().where("count = 1")),
+    ]
+    return reduce(DataFrame.unionByName, parts)

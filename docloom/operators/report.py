@@ -36,3 +36,24 @@ def counts_by(rows: DataFrame, *by: str) -> DataFrame:
 def reconciliation(rows: DataFrame, by: list[str], column: str, parts: list[str], total: str = "total") -> DataFrame:
     """Counts of the values of a column side by side with their total, per group."""
     return rows.groupBy(*by).agg(F.count(F.lit(1)).alias(total), *(F.count_if(F.col(column) == p).alias(p) for p in parts))
+
+
+def first_of(rows: DataFrame, by: str, key: str, n: int = 5) -> DataFrame:
+    """The first ``n`` keys of each group, as a report lists them, with the group's size."""
+    from pyspark.sql import Window as W
+
+    w = W.partitionBy(by)
+    ranked = rows.select(by, key).withColumn("rank", F.row_number().over(w.orderBy(key)))
+    few = ranked.where(F.col("rank") <= n)
+    return few.join(counts_by(rows, by), by)
+
+
+def markdown(rows: DataFrame, title: str, limit: int = 40) -> str:
+    """A report's section: a table of up to ``limit`` rows, and how many more there are if there are more."""
+    found = rows.limit(limit + 1).collect()
+    cell = lambda v: "" if v is None else str(v).replace("|", "\\|").replace("\n", " ")
+    lines = [f"## {title}", "", "| " + " | ".join(rows.columns) + " |", "|" + " --- |" * len(rows.columns)]
+    lines += ["| " + " | ".join(map(cell, r)) + " |" for r in found[:limit]]
+    if len(found) > limit:
+        lines += ["", f"and {rows.count() - limit} more"]
+    return "\n".join(lines) + "\n"

@@ -608,6 +608,58 @@ def parent_pages(s: SparkSession, d: str) -> DataFrame:
     return table(s, d, "parents").select("parent_id", "source_url").join(pages, F.col("source_url") == F.col("source"), "left").select("parent_id", F.coalesce("n", F.lit(0)).alias("pages"))
 
 
+_BLANK = "{0} IS NULL OR trim({0}, ' ') = '' OR contains({0}, chr(0))"
+_SHAPE = " OR ".join(_BLANK.format(c) for c in index.PARENT_COLUMNS if c != "token_count") + " OR coalesce(token_count, 0) <= 0"
+_VECTOR = f"embedding IS NULL OR len(embedding) <> 64 OR len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) > 0 OR abs({_NORM} - 1) > 0.0001"
+_AUDIT = {
+    "parents of bad shape": f"SELECT count(*) FROM parents WHERE {_SHAPE}",
+    "children of bad shape": f"SELECT count(*) FROM children WHERE {_SHAPE} OR {_BLANK.format('chunk_id')}",
+    "repeated parents": "SELECT count(*) FROM (SELECT parent_id FROM parents GROUP BY parent_id HAVING count(*) > 1)",
+    "repeated children": "SELECT count(*) FROM (SELECT chunk_id FROM children GROUP BY chunk_id HAVING count(*) > 1)",
+    "orphans": "SELECT count(*) FROM children c WHERE NOT EXISTS (SELECT 1 FROM parents p WHERE p.parent_id = c.parent_id)",
+    "childless parents": "SELECT count(*) FROM parents p WHERE NOT EXISTS (SELECT 1 FROM children c WHERE p.parent_id = c.parent_id)",
+    "misplaced children": "SELECT count(*) FROM children c JOIN parents p USING (parent_id) WHERE NOT coalesce(contains(p.text, c.text), false) OR NOT starts_with(c.chunk_id, c.parent_id || ':c')",
+    "faulty vectors": f"SELECT count(*) FROM children WHERE {_VECTOR}",
+    "models": "SELECT count(*) FROM (SELECT DISTINCT model_name, model_revision FROM children)",
+    "versions of one table only": "SELECT count(*) FROM (SELECT version FROM (SELECT DISTINCT version FROM parents UNION ALL SELECT DISTINCT version FROM children) GROUP BY version HAVING count(*) = 1)",
+}
+
+
+@query(" UNION ALL ".join(f"SELECT '{k}' AS \"check\", n = {int(k == 'models')} AS ok, CAST(n AS VARCHAR) AS detail FROM ({v.replace('SELECT count(*) FROM', 'SELECT count(*) AS n FROM', 1)})" for k, v in _AUDIT.items()))
+def index_audit(s: SparkSession, d: str) -> DataFrame:
+    """IDX2, IDX3, JN6 to JN9, AGG14, VER1, VER2: every check of the tables, with what it counts."""
+    return index.audit(table(s, d, "parents"), table(s, d, "children"), SITE)
+
+
+@query(
+    f"""WITH f AS (SELECT chunk_id, CASE WHEN embedding IS NULL THEN 'missing' WHEN len(embedding) <> 64 THEN 'dim' WHEN len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) > 0 THEN 'finite'
+    WHEN abs({_NORM} - 1) > 0.0001 THEN 'norm' END AS fault FROM children), r AS (SELECT fault, chunk_id, CAST(row_number() OVER (PARTITION BY fault ORDER BY chunk_id) AS INTEGER) AS rank, count(*) OVER (PARTITION BY fault) AS n FROM f WHERE fault IS NOT NULL)
+    SELECT fault, chunk_id, rank, n FROM r WHERE rank <= 5"""
+)
+def first_vector_faults(s: SparkSession, d: str) -> DataFrame:
+    """ORD4: the first five ids of each fault, as a report lists them."""
+    return report.first_of(index.vector_faults(table(s, d, "children"), SITE), "fault", "chunk_id")
+
+
+@query(f"SELECT version, heading_level, count(*) AS n, CAST(sum(tokens) AS BIGINT) AS tokens FROM (SELECT version, length(regexp_extract(string_split(text, chr(10))[1], '^(#{{1,6}}) ', 1)) AS heading_level, {_COUNTED} AS tokens FROM parents) GROUP BY ALL")
+def functions_in_sql(s: SparkSession, d: str) -> DataFrame:
+    """2.13: the engine's functions, called from SQL."""
+    from docloom.functions.registry import register
+
+    register(s)
+    table(s, d, "parents").createOrReplaceTempView("docloom_parents")
+    return s.sql("SELECT version, CAST(heading_level(split(text, '\\n')[0]) AS BIGINT) AS heading_level, count(*) AS n, sum(token_count(text)) AS tokens FROM docloom_parents GROUP BY ALL")
+
+
+@query()
+def realigned_headings(s: SparkSession, d: str) -> DataFrame:
+    """HTM5, WIN3: each page's headings put onto its text again; tested on small pages."""
+    lines = line_array("markdown")
+    found = F.transform(F.filter(lines, lambda x: tx.level_of(x) > 0), lambda x: F.struct(tx.level_of(x).alias("level"), tx.content_of(x).alias("text")))
+    pages = table(s, d, "extracted").select("page_id", line_array("text").alias("lines"), found.alias("headings"))
+    return pages.withColumn("a", tx.aligned("lines", "headings")).select("page_id", "a.matched", "a.missed", F.size("headings").alias("headings"))
+
+
 # Neighbours -------------------------------------------------------------------------------------------------------
 
 _DISTANCE = "1 - list_dot_product(CAST(q.embedding AS DOUBLE[]), CAST(c.embedding AS DOUBLE[])) / (sqrt(list_dot_product(CAST(q.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[]))) * sqrt(list_dot_product(CAST(c.embedding AS DOUBLE[]), CAST(c.embedding AS DOUBLE[]))))"

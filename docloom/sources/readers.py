@@ -73,7 +73,7 @@ def is_sitemap(status: str = "http_status", body: str = "body"):
 
 def sitemap_locations(sitemaps: DataFrame, body: str = "body") -> DataFrame:
     """``sitemaps`` with ``loc`` and ``is_index``: a row for each trimmed, non-empty location in them."""
-    found = F.transform(F.regexp_extract_all(body, F.lit(r"(?s)<(?:\w+:)?loc>\s*(?:<!\[CDATA\[)?(.*?)(?:\]\]>)?\s*</(?:\w+:)?loc>"), F.lit(1)), F.trim)
+    found = F.transform(F.regexp_extract_all(body, F.lit(r"(?s)<(?:\w+:)?loc>\s*(?:<!\[CDATA\[)?(.*?)(?:\]\]>)?\s*</(?:\w+:)?loc>"), F.lit(1)), lambda x: F.trim(x))
     plain = F.transform(found, lambda x: F.replace(F.replace(F.replace(x, F.lit("&lt;"), F.lit("<")), F.lit("&gt;"), F.lit(">")), F.lit("&amp;"), F.lit("&")))
     rows = sitemaps.withColumn("is_index", F.col(body).rlike(r"<(\w+:)?sitemapindex[\s>]")).withColumn("loc", F.explode(plain))
     return rows.where("loc <> ''")

@@ -71,3 +71,58 @@ def test_distribution(spark, values):
     row = report.distribution(spark.createDataFrame([(v,) for v in values], "v int"), "v").first()
     s = sorted(values)
     assert (row.n, row.median, row.p95, row["max"]) == (len(s), float(np.median(s)), s[max(1, int(len(s) * 0.95)) - 1], s[-1])
+
+
+def test_alignment(spark):
+    df = spark.createDataFrame([(["T", "A", "B", "A "], [(1, "T"), (2, "A"), (2, "Z"), (3, "A")]), (["x"], []), ([], [(1, "x")]), (None, None)], "l array<string>, h array<struct<level: int, text: string>>")
+    rows = [r[0] for r in df.select(tx.aligned("l", "h")).collect()]
+    assert rows[0].marked == ["# T", "## A", "B", "### A"] and (rows[0].matched, rows[0].missed) == (3, ["Z"])
+    assert rows[1].matched == 0 and rows[2].missed == ["x"] and rows[3] is None
+
+
+def test_functions_in_sql(spark):
+    from docloom.functions.registry import register
+
+    register(spark)
+    row = spark.sql("SELECT token_count('a, b'), heading_level('## x'), heading_content('## x'), slugify('A b!'), unit_norm(array(0.6F, 0.8F), 1e-4)").first()
+    assert tuple(row) == (3, 2, "x", "a-b", True)
+    got = spark.sql("SELECT * FROM chunk_text('one two three four five', 2, 0)").collect()
+    assert "".join(r.chunk for r in got) == "one two three four five" and len(got) == 3
+
+
+def test_links_are_resolved(spark):
+    df = spark.createDataFrame([("https://h/a/b", "../c"), ("https://h/a", None)], "b string, h string")
+    assert [r[0] for r in df.select(tx.resolved("b", "h")).collect()] == ["https://h/c", None]
+
+
+def test_report_sections(spark):
+    text = report.markdown(spark.createDataFrame([("a|b\nc", 1), (None, 2), ("z", 3)], "k string, n int"), "Faults", 2)
+    assert text.startswith("## Faults\n\n| k | n |\n| --- | --- |\n| a\\|b c | 1 |") and text.endswith("and 1 more\n")
+
+
+def test_dispositions(spark):
+    from docloom.operators.fetch import disposition
+
+    sites = spark.createDataFrame([("1", ["https://h/1/gone/"])], "version string, exclude array<string>")
+    rows = [("https://h/1/gone", "x", 0.0, "excluded_by_sources"), ("https://h/1/a", " ", 0.0, "extraction_error"), ("https://h/1/a-index/", "x", 0.0, "url_ends_with_index"), ("https://h/1/b", "x", 0.6, "short_text_high_link_density"), ("https://h/1/c", "x" * 200, 0.6, "output"), ("https://h/1/d", "x", 0.5, "output"), (None, "x", None, "output")]
+    df = spark.createDataFrame([("1", u, t, d, w) for u, t, d, w in rows], "version string, source string, text string, density double, want string")
+    assert all(r.disposition == r.want for r in disposition(df, sites, density="density").collect())
+
+
+def test_settings(tmp_path):
+    from docloom.errors import SettingsError
+    from docloom.sources import settings
+
+    (tmp_path / "s.json").write_text('{"version": "1", "mod": "M", "entry_url": "u"}')
+    assert settings.load_site(str(tmp_path / "s.json"))["exclude"] == []
+    (tmp_path / "bad.json").write_text('{"version": "1", "mod": ""}')
+    for bad in ("bad.json", "none.json"):
+        with pytest.raises(InputError):
+            settings.load_site(str(tmp_path / bad))
+    (tmp_path / ".env").write_text("A='x'\n# c\nB=${B}\nC=secret\n")
+    assert settings.load_settings(str(tmp_path / ".env"), ["A", "C"], {"C": "shell"}) == {"A": "x", "C": "shell"}
+    with pytest.raises(SettingsError, match="^not set: B, D$"):
+        settings.load_settings(str(tmp_path / ".env"), ["B", "C", "D"], {})
+    assert settings.discover_sitemap("https://h/", ["https://h/no.xml"], lambda u: u.endswith("/sitemap_index.xml")) == "https://h/sitemap_index.xml"
+    with pytest.raises(InputError):
+        settings.discover_sitemap("https://h", [], lambda u: False)
