@@ -15,7 +15,7 @@ from docloom.llm.quality import text_quality
 from docloom.llm.repeated import mine, without_repeated
 from docloom.llm.residue import find_residue
 from docloom.llm.splitting import split_oversized
-from docloom.llm.vectors import most_similar
+from docloom.llm.vectors import most_similar, search
 from docloom.shared import table
 
 CAPACITY = 2048
@@ -67,6 +67,12 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return pair.distinct()
 
 
+def p4_search(spark: SparkSession, d: str) -> DataFrame:
+    """The five most similar rows, of all, for every query whose id is divisible by 100; every code is scored."""
+    rows = table(spark, d, "embeddings").select("vec_id", "embedding")
+    return search(rows.where("vec_id % 100 = 0"), rows, "vec_id", "embedding", k=5)
+
+
 P5_KINDS = {"parent": ("parents", "parent_id"), "child": ("children", "chunk_id")}
 
 
@@ -129,7 +135,7 @@ def _p9(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_kept, p2_found, p2_sequences, p2_clean, p3_found, p3_pieces, p4_found, p5_found, p5_classes, p6_found, p6_body, p7_found, p7_containers, p8_found, p8_uses, p8_shares, p9_found, p9_statistics)}
+    return {f.__name__: f for f in (p1_found, p1_kept, p2_found, p2_sequences, p2_clean, p3_found, p3_pieces, p4_found, p4_search, p5_found, p5_classes, p6_found, p6_body, p7_found, p7_containers, p8_found, p8_uses, p8_shares, p9_found, p9_statistics)}
 
 
 _TOKENS = r"len(regexp_extract_all(text, '[A-Za-z0-9_]+|[^A-Za-z0-9_ \t\r\n]'))"

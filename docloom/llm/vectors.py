@@ -263,3 +263,53 @@ def most_similar(vectors: DataFrame, key: str, column: str, k: int = 5, min_simi
     own = rows.join(listed, "node").where(F.col("key") != F.col("neighbour"))
     ranked = own.withColumn("rank", F.row_number().over(W.partitionBy("key").orderBy(F.desc("s"), "neighbour"))).where(F.col("rank") <= k)
     return ranked.select(F.col("key").alias(key), "neighbour", F.col("s").alias("similarity"), "rank")
+
+
+def search(queries: DataFrame, base: DataFrame, key: str, column: str, k: int = 5, dim: int = 64, rerank: int = 200, block: int = 50_000) -> DataFrame:
+    """``key`` (of the query), ``neighbour``, ``similarity``, ``rank``: the k most similar other rows of ``base``.
+
+    Every row of ``base`` is encoded and scored for every query, from the query's table of products, whatever cell it
+    is in; the ``rerank`` best of each query are compared exactly. Queries are a stated set: both sides are cut into
+    blocks of at most about ``block`` rows (queries a tenth of it), and each pair of blocks is a group.
+
+    The rows that take part are those of ``most_similar``. Repeated queries or keys give repeated rows.
+    """
+    known = base.where(F.col(key).isNotNull() & usable(column, dim)).select(F.col(key).alias("key"), F.col(column).cast("array<float>").alias("v"))
+    asked = queries.where(F.col(key).isNotNull() & usable(column, dim)).select(F.col(key).alias("q"), F.col(column).cast("array<float>").alias("v"))
+    books = train(known, "v", dim)
+    kind = known.schema["key"].dataType.simpleString()
+    rows, wanted = known.count(), asked.count()
+    parts, groups = max(1, -(-rows // block)), max(1, -(-wanted // (block // 10)))
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, len(whole), 2000):
+                b = whole.slice(at, 2000)
+                codes, _, _ = books.encode(_matrix(b.column(1), dim), BEAM, 1)
+                packed = np.ascontiguousarray(codes).view(np.int64)
+                norms = np.linalg.norm(books.decode(codes), axis=1).astype(np.float32)
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(packed[:, 0]), pa.array(packed[:, 1]), pa.array(norms)], names=["key", "code_a", "code_b", "norm"])
+
+    def score(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not len(left) or not len(right):
+            return pa.table({"q": left.column("q").slice(0, 0), "key": right.column("key").slice(0, 0), "s": pa.array([], pa.float32())})
+        x = _matrix(left.column("v").combine_chunks(), dim)
+        codes = np.column_stack([right.column("code_a").to_numpy(), right.column("code_b").to_numpy()]).view(np.uint8)
+        norms = right.column("norm").to_numpy()
+        n = min(rerank + 1, len(norms))
+        a, b, s = [], [], []
+        for at in range(0, len(x), 128):
+            t = books.scores(x[at : at + 128], codes, norms)
+            i = np.argpartition(t, len(norms) - n, axis=1)[:, len(norms) - n :]
+            a.append(np.repeat(np.arange(at, at + len(t)), n)), b.append(i.ravel()), s.append(np.take_along_axis(t, i, 1).ravel())
+        a, b, s = (np.concatenate(z) for z in (a, b, s))
+        return pa.table({"q": left.column("q").take(pa.array(a)), "key": right.column("key").take(pa.array(b)), "s": s.astype(np.float32)})
+
+    coded = known.mapInArrow(encode, f"key {kind}, code_a long, code_b long, norm float")
+    coded = coded.withColumn("p", F.pmod(F.xxhash64("key"), F.lit(parts))).withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)).cast("array<long>")))
+    spread = asked.withColumn("g", F.pmod(F.xxhash64("q"), F.lit(groups))).withColumn("p", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)).cast("array<long>")))
+    scored = spread.groupBy("g", "p").cogroup(coded.groupBy("g", "p")).applyInArrow(score, f"q {kind}, key {kind}, s float").where("q <> key")
+    best = scored.withColumn("r", F.row_number().over(W.partitionBy("q").orderBy(F.desc("s"), "key"))).where(F.col("r") <= rerank).select("q", "key")
+    exact = best.join(known, "key").join(asked.withColumnRenamed("v", "x"), "q").select("q", "key", cosine(F.col("x"), F.col("v")).alias("s"))
+    ranked = exact.withColumn("rank", F.row_number().over(W.partitionBy("q").orderBy(F.desc("s"), "key"))).where(F.col("rank") <= k)
+    return ranked.select(F.col("q").alias(key), F.col("key").alias("neighbour"), F.col("s").alias("similarity"), "rank")

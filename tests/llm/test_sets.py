@@ -137,6 +137,20 @@ def test_vectors_of_nothing(spark):
     assert most_similar(df, "key", "v").count() == 0 and most_similar(df.limit(0), "key", "v").count() == 0
 
 
+@pytest.mark.parametrize("block", [50_000, 100])
+def test_search_against_brute_force(spark, block):
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(1500, 64)).astype(np.float32).astype(float)
+    df = spark.createDataFrame([(i, [float(a) for a in v]) for i, v in enumerate(x)] + [(9000, None), (None, [1.0] * 64)], "key long, v array<float>").repartition(4)
+    got = {}
+    for r in vectors.search(df.where("key % 50 = 0"), df, "key", "v", 5, block=block).orderBy("key", "rank").collect():
+        got.setdefault(r.key, []).append(r.neighbour)
+    want = neighbours(x, list(range(1500)), 5, -1)
+    hit = sum(len(set(got[q]) & set(want[q])) for q in got)
+    assert len(got) == 30 and hit >= 0.9 * 150
+    assert vectors.search(df.limit(0), df, "key", "v").count() == 0 and vectors.search(df.where("key = 0"), df.limit(0), "key", "v").count() == 0
+
+
 def test_codes_and_tables():
     x = some_vectors(500, 16, 3).astype(np.float32)
     x /= np.linalg.norm(x, axis=1, keepdims=True)
