@@ -126,3 +126,30 @@ def test_settings(tmp_path):
     assert settings.discover_sitemap("https://h/", ["https://h/no.xml"], lambda u: u.endswith("/sitemap_index.xml")) == "https://h/sitemap_index.xml"
     with pytest.raises(InputError):
         settings.discover_sitemap("https://h", [], lambda u: False)
+
+
+def test_content_scenes_and_recipe_boxes_in_text():
+    notes = '[{"contentTemplateId": "n1"}, {"contentTemplateId": "gone"}]'.replace('"', "&quot;")
+    page = f"<article><p>outside</p><div id=page-content><p>in</p><div data-scene-in-world-annotations='{notes}'></div><div class='recipe-container x'>Recipe<div>deep</div></div><p>end</p></div><p>after</p></article><template id=n1>a <b>note</b></template>"
+    assert read_page(page)[1] == "in\na note\nend"
+
+
+def icon(name):
+    return f"<img aria-description='{name}'>"
+
+
+def test_recipes_from_boxes(spark):
+    from docloom.operators.recipes import recipes
+
+    def box(label, station, *parts):
+        return f"<div class='recipeBoxLayout'><div>{icon(station)}<span>{label}</span></div>{''.join(f'<div>{p}</div>' for p in parts)}</div>"
+
+    grid = "".join(f"<div class='ingredient-box'>{x}</div>" for x in (icon("Bar") + icon("Other"), "", icon("Cap"), icon("Bar")))
+    three = "".join(f"<div class='ingredient-box'>{icon(x)}</div>" for x in "TBA")
+    slots = f"<div class='x-top'>{icon('Plate')}</div><div class='x-result'>{icon('Die')}</div><div class='x-middle'></div>"
+    page = "<article>" + box("Crafting (Shapeless)", "Table", grid, "&rarr;", icon("Rod")) + box("Smithing", "Smithing Table", three, "", icon("Sword")) + box("Inscriber", "Inscriber", slots) + box("", "Kiln", icon("Ore"), "", icon("Bar")) + "</article>" + box("out", "of", "the", "article", "x")
+    rows = recipes(spark.createDataFrame([(1, page), (2, None), (3, "<p>none")], "page_id long, html string")).orderBy("box").collect()
+    assert [(r.label, r.station, r.shapeless, r.result, r.failed) for r in rows] == [("Crafting (Shapeless)", "Table", True, "Rod", False), ("Smithing", "Smithing Table", False, "Sword", False), ("Inscriber", "Inscriber", False, "Die", False), ("", "Kiln", False, "Bar", True)]
+    assert [tuple(x) for x in rows[0].ingredients] == [("Bar", 2), ("Cap", 1)] and rows[0].slots is None
+    assert [tuple(x) for x in rows[1].slots] == [("template", "T"), ("base", "B"), ("addition", "A")] and rows[1].ingredients is None
+    assert [tuple(x) for x in rows[2].slots] == [("top", "Plate")]
