@@ -24,6 +24,8 @@ CELL = 4_096
 MAX_DEPTH = 6
 #: Vectors that cells hold on average at most; deeper prefixes of the codes make more cells for more vectors.
 OCCUPANCY = 64
+#: Rows of cells that make up a partition: scoring takes far longer than its few bytes suggest.
+PARTITION_ROWS = 50_000
 
 
 @dataclass
@@ -191,6 +193,11 @@ def candidates(nodes: DataFrame, books: Codebooks, dim: int, n: int, keep: int,
     beam = BEAM * (depth - 1)
     todo, hot_before = nodes, None
     score = _scorer(books, keep, least)
+    parts = max(1, n * beam // PARTITION_ROWS)
+
+    def by_cell(rows: DataFrame, *keys: str) -> DataFrame:
+        return rows.repartition(parts, *keys).groupBy(*keys).applyInArrow(score, _SCORED)
+
     while True:
         cells = todo.mapInArrow(_encoder(books, dim, depth, beam), "node long, up long, cell long, code_a long, code_b long, norm float")
         if hot_before is not None:
@@ -198,16 +205,16 @@ def candidates(nodes: DataFrame, books: Codebooks, dim: int, n: int, keep: int,
         cells = durable(cells.drop("up"))
         hot = durable(cells.groupBy("cell").count().where(F.col("count") > cell_size))
         if hot.isEmpty():
-            found.append(cells.groupBy("cell").applyInArrow(score, _SCORED))
+            found.append(by_cell(cells, "cell"))
             break
-        found.append(cells.join(small(hot.select("cell")), "cell", "left_anti").groupBy("cell").applyInArrow(score, _SCORED))
+        found.append(by_cell(cells.join(small(hot.select("cell")), "cell", "left_anti"), "cell"))
         rest = cells.join(small(hot.select("cell", "count")), "cell")
         if depth >= MAX_DEPTH:
             half = max(1, cell_size // 2)
             own = rest.withColumn("k", F.ceil(F.col("count") / half).cast("int")).withColumn("i", F.pmod(F.xxhash64("node", F.lit(3)), F.col("k")).cast("int"))
             met = own.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
             blocks = met.select("node", "code_a", "code_b", "norm", "cell", F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi"))
-            found.append(blocks.groupBy("cell", "lo", "hi").applyInArrow(score, _SCORED))
+            found.append(by_cell(blocks, "cell", "lo", "hi"))
             break
         todo = durable(nodes.join(rest.select("node").distinct(), "node", "left_semi"))
         hot_before, depth = hot, depth + 1
