@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -68,21 +66,22 @@ def child_spans(text: str, limit: int, overlap: int, separators: tuple[str, ...]
 
 
 def children(parents: DataFrame, limit: int = 256, overlap: int = 32) -> DataFrame:
-    """Children of parents (columns page, part, section, text): page, part, piece, start, text, token_count.
+    """Children of parents (columns page, part, section, text): page, part, section, piece, start, text, token_count.
 
-    Parents within the limit are their own child and stay in the JVM; only larger ones are cut in Python.
+    Parents within the limit are their own child: only larger texts go to Python, and only places come back.
     """
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            rows = [(*head, t[s:e].rstrip("\n "), s, k) for *head, t in b[["page", "part", "section", "text"]].itertuples(index=False) for k, (s, e) in enumerate(child_spans(t, limit, overlap), 1)]
-            yield pd.DataFrame(rows, columns=["page", "part", "section", "text", "start", "piece"])
-
-    sized = parents.select("page", "part", "section", "text").withColumn("n", token_count("text"))
-    page = sized.schema["page"].dataType.simpleString()
-    small = sized.where(F.col("n") <= limit).select("page", "part", "section", "text", F.lit(0).alias("start"), F.lit(1).alias("piece"))
-    large = sized.where(F.col("n") > limit).drop("n").mapInPandas(cut, f"page {page}, part int, section string, text string, start int, piece int")
-    return small.unionByName(large).withColumn("token_count", token_count("text"))
+    def places(texts: pd.Series) -> pd.Series:
+        return pd.Series([None if t is None else [{"s": s, "e": e} for s, e in child_spans(t, limit, overlap)] for t in texts])
+
+    cut = F.pandas_udf(places, "array<struct<s: int, e: int>>").asNondeterministic()  # so that it is never evaluated twice
+    sized = parents.select("page", "part", "section", "text").withColumn("large", token_count("text") > limit)
+    spans = sized.withColumn("spans", cut(F.when(F.col("large"), F.col("text"))))
+    whole = F.array(F.struct(F.lit(0).alias("s"), F.length("text").alias("e")))
+    each = spans.select("page", "part", "section", "text", F.posexplode(F.coalesce("spans", whole)).alias("piece", "at"))
+    piece = F.rtrim(F.substring("text", F.col("at.s") + 1, F.col("at.e") - F.col("at.s")), F.lit("\n "))
+    out = each.select("page", "part", "section", (F.col("piece") + 1).alias("piece"), F.col("at.s").alias("start"), piece.alias("text"))
+    return out.withColumn("token_count", token_count("text"))
 
 
 def chunk_ids(prefix: str, part: str, piece: str | None = None) -> Column:

@@ -162,6 +162,14 @@ def test_children_cover_their_parent(text):
     assert covered == set(range(len(text))) and all(a[0] < b[0] <= a[1] for a, b in zip(spans, spans[1:]))
 
 
+def test_children_of_parents(spark):
+    rows = [(1, 1, "S", "short text"), (1, 2, "S", "字 word. " * 60), (2, 1, "S", None)]
+    got = chunk.children(spark.createDataFrame(rows, "page int, part int, section string, text string"), 50, 10).orderBy("part", "piece").collect()
+    assert [(r.part, r.piece, r.text) for r in got if r.page == 1][0] == (1, 1, "short text")
+    long = [r for r in got if r.part == 2]
+    assert len(long) > 3 and all(r.token_count <= 50 and rows[1][3][r.start :].startswith(r.text) for r in long)
+
+
 def test_child_sections(spark):
     text = "## S\n### X\naa\n### Y\nbb"
     p = spark.createDataFrame([("p", text, "P")], "parent_id string, text string, section string")
