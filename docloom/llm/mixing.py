@@ -19,6 +19,8 @@ TOPICS = 32
 LANGUAGES = ("en", "de", "es", "zh")
 #: Rows that share one run of the sampling; larger sources are sampled in more runs.
 BUCKET_ROWS = 500_000
+#: Starts of the sampling that are tried for each source.
+STARTS = 32
 #: Sources that a table of targets may have; cells are at most this times languages times topics.
 MAX_SOURCES = 10_000
 
@@ -72,7 +74,8 @@ def mix(documents: DataFrame, targets: DataFrame, key: str, text: str, source: s
     ``targets`` has source, target_share, max_repeats. All tokens are those of documents with a source. The goal of a
     source is its share of them, or all it has ``max_repeats`` times if that is less. Cell weights come from ``rake``
     over source, language and topic; a document of a cell of weight w is used floor(w) times and once more with the
-    probability of the rest, drawn by systematic sampling along the source's documents by size. ``shares`` reports tokens, goal and what was reached.
+    probability of the rest, drawn by systematic sampling along the source's
+    documents by size, with the start, of ``STARTS``, that comes nearest to the goal. ``shares`` reports tokens, goal and what was reached.
 
     Sources are compared in lower case without outer blanks. Documents with null source, or one that is no target,
     are used 0 times; null text has 0 tokens; null language or title make a cell of their own. Repeated rows count and
@@ -110,11 +113,22 @@ def mix(documents: DataFrame, targets: DataFrame, key: str, text: str, source: s
     parts = F.lit(max(1, -(-sized.count() // BUCKET_ROWS)))
     part = joined.withColumn("_part", F.pmod(F.xxhash64("_key"), parts).cast("int")).withColumn("_w", F.coalesce("_w", F.lit(0.0)))
     upto = F.sum("_w").over(W.partitionBy("_s", "_part").orderBy("_tokens", "_key", "_lang", "_topic").rowsBetween(W.unboundedPreceding, 0))
-    start = F.pmod(F.xxhash64("_s", "_part", F.lit(seed)), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    joined = part.withColumn("_sum", upto + start)
-    # 1e-9 keeps sums of whole weights whole
-    n = F.floor(F.col("_sum") + 1e-9) - F.floor(F.col("_sum") - F.col("_w") + 1e-9)
-    n = F.when(F.col("_w") > 0, F.least(n, F.coalesce("_max", F.lit(0)))).otherwise(0).cast("int")
+    own = F.pmod(F.xxhash64("_s", "_part", F.lit(seed)), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    summed = durable(part.select("_key", "_s", "_tokens", "_w", F.coalesce("_max", F.lit(0)).alias("_max"), (upto + own).alias("_sum")))
+
+    def drawn(start: Column) -> Column:
+        # 1e-9 keeps sums of whole weights whole
+        n = F.floor(F.col("_sum") + start + 1e-9) - F.floor(F.col("_sum") - F.col("_w") + start + 1e-9)
+        return F.when(F.col("_w") > 0, F.least(n, F.col("_max"))).otherwise(0).cast("int")
+
+    # every start gives a sample with these weights; each source takes the one that comes nearest to its goal
+    tried = [k / STARTS for k in range(STARTS)]
+    sums = summed.where("_w > 0").groupBy("_s").agg(*(F.sum(F.col("_tokens") * drawn(F.lit(o))).alias(f"r{k}") for k, o in enumerate(tried))).toPandas().set_index("_s")
+    off = sums.sub(goals.reindex(sums.index), axis=0).abs().to_numpy() if len(sums) else np.zeros((0, STARTS))
+    best = pd.DataFrame({"_s": list(sums.index), "_o": [tried[i] for i in off.argmin(1)] if len(sums) else []})
+    starts = F.broadcast(spark.createDataFrame(best, "_s string, _o double"))  # at most MAX_SOURCES rows
+    joined = summed.join(starts, "_s", "left")
+    n = drawn(F.coalesce("_o", F.lit(0.0)))
     uses = joined.select(F.col("_key").alias(key), F.col("_s").alias("source"), F.col("_tokens").alias("tokens"), n.alias("uses"))
     reached = uses.where("uses > 0").groupBy("source").agg(F.sum(F.col("tokens") * F.col("uses")).alias("reached"))
     out = rows.reset_index().assign(tokens=have.to_numpy().astype("int64"), goal=goals.to_numpy(), total=total)
