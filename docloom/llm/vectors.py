@@ -113,9 +113,15 @@ def _matrix(col: pa.Array, dim: int) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def train(vectors: DataFrame, column: str, dim: int, size: int = SAMPLE) -> Codebooks:
-    """Codebooks fitted on ``size`` vectors, those with the smallest hashes."""
-    rows = vectors.select(column).orderBy(F.xxhash64(column)).limit(size).toArrow().column(0).combine_chunks()
+def train(vectors: DataFrame, column: str, dim: int, n: int, size: int = SAMPLE) -> Codebooks:
+    """Codebooks fitted on ``size`` of ``n`` vectors, those with the smallest hashes.
+
+    Hashes far above those are left out before the smallest are sought, so that no task sees more than a few samples.
+    """
+    h = F.xxhash64(column)
+    space = 1 << 30
+    near = vectors if n <= 2 * size else vectors.where(F.pmod(h, F.lit(space)) < int(2 * size / n * space) + 1)
+    rows = near.select(column).orderBy(F.pmod(h, F.lit(space)), h).limit(size).toArrow().column(0).combine_chunks()
     return fit(_matrix(rows, dim) if len(rows) else np.zeros((0, dim), np.float32))
 
 
@@ -246,7 +252,7 @@ def most_similar(vectors: DataFrame, key: str, column: str, k: int = 5, min_simi
     total = counts.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
     copied = small(durable(counts.where("n > 1").select("node", "first")))
     nodes = base.select("key", F.xxhash64("v").alias("node"), "v").join(copied, "node", "left").where("first IS NULL OR key = first").select("node", "v")
-    books = train(nodes, "v", dim)
+    books = train(nodes, "v", dim, total[0])
     keep = 4 * k
     scored = candidates(nodes, books, dim, total[0], keep, min_similarity - slack)
     best = scored.groupBy("a", "b").agg(F.max("s").alias("s"))
@@ -283,9 +289,9 @@ def search(queries: DataFrame, base: DataFrame, key: str, column: str, k: int =
     """
     known = base.where(F.col(key).isNotNull() & usable(column, dim)).select(F.col(key).alias("key"), F.col(column).cast("array<float>").alias("v"))
     asked = queries.where(F.col(key).isNotNull() & usable(column, dim)).select(F.col(key).alias("q"), F.col(column).cast("array<float>").alias("v"))
-    books = train(known, "v", dim)
     kind = known.schema["key"].dataType.simpleString()
     rows, wanted = known.count(), asked.count()
+    books = train(known, "v", dim, rows)
     parts, groups = max(1, -(-rows // block)), max(1, -(-wanted // (block // 10)))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
