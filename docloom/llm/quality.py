@@ -25,7 +25,7 @@ _INVISIBLE = re.compile(r"[​‌‍⁠﻿­]")
 _ENTITY = re.compile(r"&(?:[a-z]{2,8}|#\d{1,6});")
 _BULLET = re.compile(r"^\s*(?:[-*•+–—·▪►]|\d{1,4}[.)]|\[[ xX]?\]|[a-zA-Z][.)])\s+")
 _NUMBER = re.compile(r"\d[\d.,:]*")
-_MACHINE = re.compile(r"^\s*(?:\[\d\d:\d\d|\d{4}-\d\d-\d\d|[0-9a-f]{6,}\s|\{|\}|<[/a-z!?]|at [\w.$]+\(|(?:DEBUG|INFO|WARN|ERROR|FATAL)\b)|→|=>|\w+=\S+ \w+=|[{}]\s*$|\S{40,}")
+_MACHINE = re.compile(r"^\s*(?:\[\d\d:\d\d|\d{4}-\d\d-\d\d|[0-9a-f]{6,}\s|\{|\}|<[/a-z!?]|at [\w.$]+\(|(?:DEBUG|INFO|WARN|ERROR|FATAL)\b)|→|=>|\w+=\S+ \w+=|[{}]\s*$|[!-~]{40,}")
 _DELIMITERS = "|\t;,"
 _ENDS = tuple(".!?…:;。！？\"”'’)»")
 MIN_COMMON = 0.2

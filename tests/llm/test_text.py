@@ -138,7 +138,7 @@ PROSE = "When the power runs out, the pump stops and waits for the next bucket o
 
 @pytest.mark.parametrize(
     "text",
-    [PROSE, PROSE.upper(), re.sub("[.,]", "", PROSE.lower()), "- When the power runs out, the pump stops and waits.\n- It was added so that a tank could feed it.", "anna: When the power runs out, it stops.\nben: Then you have to wait for it.", PROSE.replace(" the ", "\nthe "), "如果控制器沒有閘門，整個模組就會停止吸收。把終端放在旁邊，它會自動過濾。", "Wenn der Tank leer ist, übernimmt ein Speicher die Last von den Geräten."],
+    [PROSE, PROSE.upper(), re.sub("[.,]", "", PROSE.lower()), "- When the power runs out, the pump stops and waits.\n- It was added so that a tank could feed it.", "anna: When the power runs out, it stops.\nben: Then you have to wait for it.", PROSE.replace(" the ", "\nthe "), "如果控制器沒有閘門，整個模組就會停止吸收。把終端放在旁邊，它會自動過濾。", "每個匯流排都需要先冷卻粉塵，然後才能充能495個接口。自從第129版以後，控制器不再移動齒輪，而是分配晶體與晶體。如果粉塵沒有接口，整個頻道就會停止儲存。\n每個終端都需要先替換配方。", "Wenn der Tank leer ist, übernimmt ein Speicher die Last von den Geräten."],
 )
 def test_prose(text):
     assert measure(text, FUNCTION_WORDS)[10] > 0.5
