@@ -91,8 +91,9 @@ def ruled_lines(pages: DataFrame, config: Config) -> DataFrame:
     their depth, from 2 on: the headings above a line are, of each level, the last one, if none of a lower level came
     after it. Whether a section is empty doesn't depend on what other empty ones are removed, so one pass does.
     """
-    w = W.partitionBy("page_id").orderBy("line_no")
-    before, after = w.rowsBetween(W.unboundedPreceding, -1), w.rowsBetween(1, W.unboundedFollowing)
+    before = W.partitionBy("page_id").orderBy("line_no").rowsBetween(W.unboundedPreceding, -1)
+    # what follows is what comes before in the other order: such frames grow by a row, while those to the end are redone
+    after = W.partitionBy("page_id").orderBy(F.desc("line_no")).rowsBetween(W.unboundedPreceding, -1)
     lines = page_lines(pages, config)
     cut = F.regexp_extract("line", glued_tail(config.labels), 1)
     lines = lines.withColumn("glued", (F.col("n_source_lines") == 1) & (F.trim(cut) != "") & ~F.col("is_label"))
@@ -101,11 +102,10 @@ def ruled_lines(pages: DataFrame, config: Config) -> DataFrame:
     lines = lines.withColumn("rule", F.when(F.col("is_label"), "R4a").when(F.coalesce(named, F.lit(False)), "R5"))
     alive = F.col("rule").isNull()
     heading = alive & (F.col("level") > 0)
-    for k in LEVELS:
-        at = F.when(heading & (F.col("level") == k), F.col("line_no"))
-        lines = lines.withColumn(f"p{k}", F.max(at).over(before)).withColumn(f"q{k}", F.min(at).over(after))
-    text = F.min(F.when(alive & (F.col("level") == 0) & (F.trim("line") != ""), F.col("line_no"))).over(after)
-    lines = lines.withColumn("next_text", text)
+    at = {k: F.when(heading & (F.col("level") == k), F.col("line_no")) for k in LEVELS}
+    text = F.when(alive & (F.col("level") == 0) & (F.trim("line") != ""), F.col("line_no"))
+    lines = lines.select("*", *(F.max(at[k]).over(before).alias(f"p{k}") for k in LEVELS))
+    lines = lines.select("*", *(F.min(at[k]).over(after).alias(f"q{k}") for k in LEVELS), F.min(text).over(after).alias("next_text"))
     depth, end = F.lit(0), F.lit(None).cast("int")
     for k in LEVELS:
         newer = reduce_and([F.coalesce(F.col(f"p{k}") > F.col(f"p{j}"), F.col(f"p{k}").isNotNull()) for j in range(1, k)])
