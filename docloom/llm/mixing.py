@@ -82,6 +82,8 @@ def mix(documents: DataFrame, targets: DataFrame, key: str, text: str, source: s
     are used each. Targets of one name are added up (the largest ``max_repeats`` holds); null shares and repeats
     are 0. Empty tables give empty results.
     """
+    if key in ("source", "tokens", "uses"):
+        raise ValueError(f"{key} is the name of an added column")
     wanted = targets.where(F.col("source").isNotNull()).groupBy(name_key("source").alias("_s")).agg(F.min("source").alias("name"), F.sum(F.coalesce("target_share", F.lit(0.0))).alias("share"), F.max(F.coalesce("max_repeats", F.lit(0))).alias("repeats"))
     rows = wanted.limit(MAX_SOURCES + 1).toPandas()
     if len(rows) > MAX_SOURCES:

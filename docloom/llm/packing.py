@@ -166,6 +166,8 @@ def pack(documents: DataFrame, key: str, text: str, capacity: int = 2048) -> Dat
     """
     if capacity < 1:
         raise ValueError("capacity must be at least 1")
+    if key in ("piece_no", "n_pieces", "tokens", "container"):
+        raise ValueError(f"{key} is the name of an added column")
     size = F.coalesce(token_count(text), F.lit(0).cast("long"))
     sized = durable(documents.select(F.col(key).alias("_key"), size.alias("_tokens")))
     n_pieces = F.greatest(F.lit(1), F.ceil(F.col("_tokens") / capacity)).cast("int")

@@ -181,4 +181,4 @@ def text_quality(documents: DataFrame, words: DataFrame, text: str = "text", lea
         return out.astype({x: "Int64" if x.startswith("n_") else "Float64" for x in added})
 
     udf = F.pandas_udf(judge, SCHEMA).asNondeterministic()  # so that it is never evaluated twice
-    return base.withColumn("_r", udf(text)).select(*base.columns, "_r.*", (F.col("_r.prose_share") >= least_prose).alias("is_prose"))
+    return base.withColumn("__result", udf(text)).select(*base.columns, "__result.*", (F.col("__result.prose_share") >= least_prose).alias("is_prose"))

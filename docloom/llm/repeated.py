@@ -107,8 +107,8 @@ def without_repeated(pages: DataFrame, page: str, host: str, text: str, **limits
     """
     base = pages.drop("clean_text", "n_removed")
     lines = mine(base, page, host, text, **limits).lines
-    gone = lines.groupBy(F.col("page").alias("_page")).agg(F.collect_set("n").alias("_gone"))
-    joined = base.join(gone, base[page] == gone["_page"], "left")
-    kept = F.filter(line_array(text), lambda x, i: ~F.array_contains("_gone", i + 1))
-    clean = F.when(F.col("_gone").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n"))
-    return joined.select(*base.columns, clean.alias("clean_text"), F.coalesce(F.size("_gone"), F.lit(0)).alias("n_removed"))
+    gone = lines.groupBy(F.col("page").alias("__page")).agg(F.collect_set("n").alias("__gone"))
+    joined = base.join(gone, base[page] == gone["__page"], "left")
+    kept = F.filter(line_array(text), lambda x, i: ~F.array_contains("__gone", i + 1))
+    clean = F.when(F.col("__gone").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n"))
+    return joined.select(*base.columns, clean.alias("clean_text"), F.coalesce(F.size("__gone"), F.lit(0)).alias("n_removed"))

@@ -167,4 +167,4 @@ def find_residue(pages: DataFrame, text: str = "text", known: tuple[str, ...] =
     udf = F.pandas_udf(judge, SCHEMA).asNondeterministic()  # so that it is never evaluated twice
     state = F.col(status).cast("int") if status in base.columns else F.lit(None).cast("int")
     own = [F.col(k).cast("string") for k in known if k in base.columns]
-    return base.withColumn("_r", udf(F.col(text), state, *own)).select(*base.columns, "_r.*", (F.size("_r.residue_lines") > 0).alias("is_residue"))
+    return base.withColumn("__result", udf(F.col(text), state, *own)).select(*base.columns, "__result.*", (F.size("__result.residue_lines") > 0).alias("is_residue"))

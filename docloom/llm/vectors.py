@@ -246,6 +246,8 @@ def most_similar(vectors: DataFrame, key: str, column: str, k: int = 5, min_simi
     than k + 1 equal ones the first by key stand for all as neighbours, so that ties go to the smaller key. An empty
     table gives an empty result; other columns are not carried along.
     """
+    if key in ("neighbour", "similarity", "rank"):
+        raise ValueError(f"{key} is the name of an added column")
     base = vectors.where(F.col(key).isNotNull() & usable(column, dim)).select(F.col(key).alias("key"), F.col(column).cast("array<float>").alias("v"))
     rows = base.select("key", F.xxhash64("v").alias("node"))
     counts = durable(rows.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("first")))

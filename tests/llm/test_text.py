@@ -80,7 +80,9 @@ def test_sequences_of_short_lines(spark):
     menu = "Home\nAbout us\nHelp"
     rows = [(i, "h", f"{menu}\nText {'abcdefghijkl'[i]} of its own") for i in range(12)] + [(20 + i, "g", f"Home\nx{'abcdefghijkl'[i]}\nHelp") for i in range(12)]
     df = spark.createDataFrame(rows, "page_id long, hostname string, text string").withColumn("clean_text", F.lit("clash"))
+    df = df.withColumn("_page", F.lit("kept")).withColumn("_gone", F.lit("kept")).withColumn("k", F.lit("kept"))
     out = {r.page_id: r for r in without_repeated(df, "page_id", "hostname", "text").collect()}
+    assert out[0]["_page"] == out[0]["_gone"] == out[0].k == "kept"
     assert out[0].clean_text == "Text a of its own" and out[0].n_removed == 3
     assert out[20].clean_text == "Home\nxa\nHelp" and out[20].n_removed == 0
     found = mine(df, "page_id", "hostname", "text").sequences.collect()
@@ -129,6 +131,7 @@ def test_main_body_edge_cases(spark):
     assert rows[2].body == "" and rows[3].body_lines == [] and rows[4].body_lines == [1]
     assert main_body(df.drop("body").limit(0)).count() == 0
     assert main_body(df).first().body != "clash"
+    assert main_body(df.drop("body").withColumn("_r", F.lit("kept"))).first()["_r"] == "kept"
 
 
 # quality
