@@ -19,8 +19,8 @@ _WORD = re.compile(r"[a-z0-9]+")
 #: Values of a signature, two bytes each. Order t of the forest begins with values 3t, 3t + 1, 3t + 2.
 VALUES = 64
 ORDERS = 21
-BASE_DEPTH, MAX_DEPTH = 3, 12
-#: A region of one order with more texts is searched at a greater depth.
+BASE_DEPTH = 3
+#: A region of one order with more texts is compared in blocks of about this size.
 REGION = 128
 #: Bits of the sketch in which texts at the threshold differ, of 64: 0.2 x 64 and three standard deviations.
 SKETCH_BITS = 23
@@ -130,35 +130,26 @@ def _pairs(rows: DataFrame, by: list[str]) -> DataFrame:
     return one.select(F.col("p.node").alias("a"), F.explode(near).alias("q")).select("a", F.col("q.node").alias("b"))
 
 
-def candidates(nodes: DataFrame, region_size: int = REGION, max_depth: int = MAX_DEPTH) -> DataFrame:
+def candidates(nodes: DataFrame, region_size: int = REGION) -> DataFrame:
     """Distinct pairs (a < b) of nodes that are neighbours in some order.
 
     In each of ``ORDERS`` sorted orders of the signature, texts with the same first ``BASE_DEPTH`` values are
-    neighbours. Where more than ``region_size`` texts are, the prefix is made longer until it tells them apart; regions
-    that ``max_depth`` values don't divide are compared whole, in blocks of that size. Sizes of regions are counted
-    with a partial count before the shuffle, and only regions of bounded size are gathered.
+    neighbours, however many they are: what the forest finds doesn't depend on the size of the table. Sizes of regions
+    are counted with a partial count before the shuffle; regions of more than ``region_size`` texts are cut into hashed
+    blocks of about that size, and each pair of blocks is compared, so only groups of bounded size are gathered.
     """
     rows = nodes.select("node", "sig", "sketch", F.explode(F.sequence(F.lit(0), F.lit(ORDERS - 1))).alias("o"))
-    found = []
-    depth = BASE_DEPTH
-    while True:
-        # the signature doesn't travel: the regions of this depth are hashes
-        at = rows.withColumn("r", region(F.col("o"), depth))
-        hot = durable(at.groupBy("r").count().where(F.col("count") > region_size).select("r", "count"))
-        flat = at.select("r", "node", "sketch")
-        if hot.isEmpty():
-            found.append(_pairs(flat, ["r"]))
-            break
-        found.append(_pairs(flat.join(small(hot.select("r")), "r", "left_anti"), ["r"]))
-        if depth >= max_depth:
-            parts = small(hot.select("r", F.ceil(F.col("count") / region_size).cast("int").alias("k")))
-            own = flat.join(parts, "r").withColumn("i", F.pmod(F.xxhash64("node", F.lit(1)), F.col("k")).cast("int"))
-            met = own.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
-            found.append(_pairs(met.select("r", F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi"), "node", "sketch"), ["r", "lo", "hi"]))
-            break
-        rows = durable(at.join(small(hot.select("r")), "r", "left_semi").drop("r"))
-        depth += 1
-    return reduce(DataFrame.unionByName, found).distinct()
+    # the signature doesn't travel: regions are hashes
+    flat = rows.select(region(F.col("o"), BASE_DEPTH).alias("r"), "node", "sketch")
+    hot = durable(flat.groupBy("r").count().where(F.col("count") > region_size).select("r", "count"))
+    if hot.isEmpty():
+        return _pairs(flat, ["r"]).distinct()
+    whole = _pairs(flat.join(small(hot.select("r")), "r", "left_anti"), ["r"])
+    parts = small(hot.select("r", F.ceil(F.col("count") / region_size).cast("int").alias("k")))
+    own = flat.join(parts, "r").withColumn("i", F.pmod(F.xxhash64("node", F.lit(1)), F.col("k")).cast("int"))
+    met = own.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
+    blocks = _pairs(met.select("r", F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi"), "node", "sketch"), ["r", "lo", "hi"])
+    return whole.unionByName(blocks).distinct()
 
 
 @dataclass

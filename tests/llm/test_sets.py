@@ -70,6 +70,23 @@ def test_small_regions_still_find_close_texts(spark, monkeypatch):
     assert found <= want and len(found & true_pairs(rows, 0.9)) >= 0.95 * len(true_pairs(rows, 0.9))
 
 
+def test_a_crowded_family_is_found_as_well_as_others(spark, monkeypatch):
+    # a third of the rows are edited copies of one text, most pairs of them near the threshold
+    monkeypatch.setattr(neardup.candidates, "__defaults__", (8, *neardup.candidates.__defaults__[1:]))
+    rng = random.Random(4)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    first = rng.choices(vocabulary, k=90)
+    family = []
+    for i in range(150):
+        w = list(first)
+        for at in rng.sample(range(90), rng.randrange(2, 8)):
+            w[at] = rng.choice(vocabulary)
+        family.append((f"f{i:03}", " ".join(w)))
+    rows = family + [(f"o{i:03}", " ".join(rng.choices(vocabulary, k=60))) for i in range(300)]
+    found, want = pairs_of(near_duplicates(spark.createDataFrame(rows, "key string, text string"), "key", "text", 0.6, 3)), true_pairs(rows, 0.6)
+    assert found <= want and len(want) > 3000 and len(found) >= 0.99 * len(want)
+
+
 def test_groups_of_copies(spark):
     text = " ".join(f"a{i}" for i in range(40))
     rows = [(f"c{i:03}", text.upper() if i % 2 else text) for i in range(90)] + [("d", text + " more")]
