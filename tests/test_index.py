@@ -145,6 +145,18 @@ def test_neighbours(spark):
     assert knn.exact_top_k(df.limit(0), df, "id", "v").count() == 0
 
 
+def test_tie_sets_are_whole(spark, tmp_path):
+    from docloom.plans.queries import queries
+
+    # rows 0 to 19 are copies, row 200 nearly is one; a query of them has 21 nearest rows
+    x = np.random.default_rng(5).normal(size=(201, 8))
+    x[:20] = x[0]
+    x[200] = x[0] * (1 + 1e-9)
+    spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "vec_id long, embedding array<float>").repartition(3).write.parquet(str(tmp_path / "embeddings.parquet"))
+    got = {(r["query"], r.neighbour) for r in queries()["nearest_ties"](spark, str(tmp_path)).collect()}
+    assert got == {(q, j) for q in (0, 200) for j in (*range(20), 200)} | {(100, 100)}
+
+
 def test_chunks(spark):
     body = "lead\n\n## A\nx\n### B\ny\n## C\nz"
     pages = spark.createDataFrame([(1, "T", body), (2, "U", None), (3, "V", " \n ")], "page_id long, title string, body string")
