@@ -67,6 +67,12 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return pair.distinct()
 
 
+def p4_neighbours(spark: SparkSession, d: str) -> DataFrame:
+    """The five most similar other children, however far, of every usable row; every code is scored for every row."""
+    rows = table(spark, d, "children").select("chunk_id", "embedding")
+    return search(rows, rows, "chunk_id", "embedding", k=5)
+
+
 def p4_search(spark: SparkSession, d: str) -> DataFrame:
     """The five most similar rows, of all, for every query whose id is divisible by 100; every code is scored."""
     rows = table(spark, d, "embeddings").select("vec_id", "embedding")
@@ -135,7 +141,7 @@ def _p9(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_kept, p2_found, p2_sequences, p2_clean, p3_found, p3_pieces, p4_found, p4_search, p5_found, p5_classes, p6_found, p6_body, p7_found, p7_containers, p8_found, p8_uses, p8_shares, p9_found, p9_statistics)}
+    return {f.__name__: f for f in (p1_found, p1_kept, p2_found, p2_sequences, p2_clean, p3_found, p3_pieces, p4_found, p4_neighbours, p4_search, p5_found, p5_classes, p6_found, p6_body, p7_found, p7_containers, p8_found, p8_uses, p8_shares, p9_found, p9_statistics)}
 
 
 _TOKENS = r"len(regexp_extract_all(text, '[A-Za-z0-9_]+|[^A-Za-z0-9_ \t\r\n]'))"

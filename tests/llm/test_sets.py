@@ -154,6 +154,25 @@ def test_vectors_of_nothing(spark):
     assert most_similar(df, "key", "v").count() == 0 and most_similar(df.limit(0), "key", "v").count() == 0
 
 
+def test_every_child_has_five_neighbours(spark, tmp_path):
+    from docloom.llm.queries import queries
+
+    # far neighbours as well: random directions, and a third of the rows near one of them
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(600, 64))
+    x[400:] = x[0] + rng.normal(size=(200, 64)) * 0.1
+    x = x.astype(np.float32).astype(float)
+    ids = [f"c{i:03}" for i in range(600)]
+    rows = [(k, [float(v) for v in r]) for k, r in zip(ids, x)] + [("none", None), ("short", [1.0] * 63)]
+    spark.createDataFrame(rows, "chunk_id string, embedding array<float>").write.parquet(str(tmp_path / "children.parquet"))
+    got = {}
+    for r in queries()["p4_neighbours"](spark, str(tmp_path)).collect():
+        got.setdefault(r.chunk_id, []).append(r.neighbour)
+    want = neighbours(x, ids, 5, -1)
+    assert set(got) == set(ids) and all(len(v) == 5 for v in got.values())
+    assert sum(len({*got[k]} & {*want[k]}) for k in ids) >= 0.95 * 5 * len(ids)
+
+
 @pytest.mark.parametrize("block", [50_000, 100])
 def test_search_against_brute_force(spark, block):
     rng = np.random.default_rng(9)
