@@ -588,6 +588,61 @@ def change_counts(s: SparkSession, d: str) -> DataFrame:
     return report.counts_by(version_changes(s, d), "change")
 
 
+_STEPS = "v AS (SELECT version, lag(version) OVER (ORDER BY list_transform(string_split(version, '.'), lambda x: TRY_CAST(x AS INTEGER)), version) AS before FROM (SELECT DISTINCT version FROM parents WHERE version IS NOT NULL))"
+_PART = "concat_ws(':', mod, chapter, regexp_replace(page, '-[0-9a-z]+$', ''), regexp_extract(parent_id, ':(p[0-9]+)$', 1))"
+_ALL_CHANGES = f"""{_STEPS}, p AS (SELECT *, {_PART} AS k FROM parents), e AS (SELECT *, CAST(row_number() OVER (PARTITION BY version, k ORDER BY parent_id) AS INTEGER) AS copy FROM p),
+    o AS (SELECT v.version AS version, k, copy, title, section, text FROM e JOIN v ON e.version = v.before), n AS (SELECT e.version AS version, k, copy, title, section, text FROM e JOIN v ON e.version = v.version WHERE before IS NOT NULL),
+    c AS (SELECT coalesce(o.version, n.version) AS version, coalesce(o.k, n.k) AS k, coalesce(o.copy, n.copy) AS copy, CASE WHEN o.k IS NULL THEN 'inserted' WHEN n.k IS NULL THEN 'deleted'
+    WHEN (o.title, o.section, o.text) IS DISTINCT FROM (n.title, n.section, n.text) THEN 'updated' ELSE 'unchanged' END AS change FROM o FULL JOIN n ON o.version = n.version AND o.k = n.k AND o.copy = n.copy)"""
+
+
+def _steps(parents: DataFrame) -> DataFrame:
+    """``version`` and the one ``before`` it, by the numbers in them, of a table's few versions."""
+    from pyspark.sql import Window as W
+
+    numbers = F.transform(F.split("version", r"\."), lambda x: x.try_cast("int"))
+    return parents.select("version").where("version IS NOT NULL").distinct().withColumn("before", F.lag("version").over(W.orderBy(numbers, "version"))).where("before IS NOT NULL")
+
+
+@query(f"WITH {_ALL_CHANGES} SELECT version, k, copy, change FROM c")
+def all_version_changes(s: SparkSession, d: str) -> DataFrame:
+    """IDX7, IDX8, JN11: what an update of each version by the next one would do, for every section.
+
+    Pages that differ in the suffix only are told apart by ``copy``, their order within the version.
+    """
+    from pyspark.sql import Window as W
+
+    p = table(s, d, "parents")
+    steps = F.broadcast(_steps(p))
+    k = F.concat_ws(":", "mod", "chapter", F.regexp_replace("page", "-[0-9a-z]+$", ""), F.regexp_extract("parent_id", ":(p[0-9]+)$", 1))
+    p = p.select("parent_id", "version", k.alias("k"), "title", "section", "text")
+    p = p.withColumn("copy", F.row_number().over(W.partitionBy("version", "k").orderBy("parent_id")))
+    old = p.withColumnRenamed("version", "before").join(steps, "before").drop("before")
+    return index.classify(old, p.join(steps, "version"), ["version", "k", "copy"], ["title", "section", "text"])
+
+
+@query(f"WITH {_ALL_CHANGES} SELECT version, change, count(*) AS n FROM c GROUP BY version, change")
+def all_change_counts(s: SparkSession, d: str) -> DataFrame:
+    """IDX7 to IDX9, HLP3: of every version and every section."""
+    return report.counts_by(all_version_changes(s, d), "version", "change")
+
+
+@query(f"WITH {_STEPS} SELECT v.version, mod, chapter, page FROM parents p JOIN v ON p.version = v.before EXCEPT SELECT version, mod, chapter, page FROM parents")
+def all_dropped_pages(s: SparkSession, d: str) -> DataFrame:
+    """SET2: pages of each version that the next lacks."""
+    p = table(s, d, "parents").select("version", "mod", "chapter", "page")
+    old = p.withColumnRenamed("version", "before").join(F.broadcast(_steps(p)), "before")
+    return old.select("version", "mod", "chapter", "page").subtract(p)
+
+
+@query(f"WITH {_STEPS} SELECT v.version, mod, chapter FROM parents p JOIN v ON p.version = v.before INTERSECT SELECT version, mod, chapter FROM parents")
+def all_lasting_chapters(s: SparkSession, d: str) -> DataFrame:
+    """SET3: chapters of each version that the next still has."""
+    p = table(s, d, "parents").select("version", "mod", "chapter")
+    old = p.withColumnRenamed("version", "before").join(F.broadcast(_steps(p)), "before")
+    return old.select("version", "mod", "chapter").intersect(p)
+
+
 @query(
     """SELECT c.chunk_id, c.title IS NOT DISTINCT FROM p.title AND c.source_url IS NOT DISTINCT FROM p.source_url AND c.version IS NOT DISTINCT FROM p.version AND c.mod IS NOT DISTINCT FROM p.mod AS same, c.section = p.section AS same_section
     FROM children c JOIN parents p USING (parent_id)"""
