@@ -99,12 +99,12 @@ def p5_classes(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
-    pages = table(spark, d, "extracted").select("page_id", "text", "markdown", "title")
-    return main_body(pages, with_text=False).select("page_id", F.explode("other_lines").alias("line_no"))
+    pages = table(spark, d, "extracted").select("page_id", "text", "markdown", "title", "hostname", "mod")
+    return main_body(pages).select("page_id", F.explode("other_lines").alias("line_no"))
 
 
 def p6_body(spark: SparkSession, d: str) -> DataFrame:
-    pages = table(spark, d, "extracted").select("page_id", "text", "markdown", "title")
+    pages = table(spark, d, "extracted").select("page_id", "text", "markdown", "title", "hostname", "mod")
     return main_body(pages).select("page_id", "body")
 
 

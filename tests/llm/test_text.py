@@ -9,7 +9,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from docloom.llm import queries as q
-from docloom.llm.mainbody import body_lines, main_body
+from docloom.llm.lines import normal
+from docloom.llm.mainbody import body_lines, evidence, main_body
 from docloom.llm.quality import FUNCTION_WORDS, measure, text_quality
 from docloom.llm.repeated import mine, without_repeated
 from docloom.llm.residue import find_residue, line_residue
@@ -124,6 +125,82 @@ def test_main_body_without_marks_or_title():
     assert {5, 6, 7, 8, 12} <= {*body} and not {1, 2, 9, 10, 11, 13, 14} & {*body}
 
 
+#: Pages in words of their own, as sites of other kinds have them: "-" lines are no body, "#" lines are headings.
+OTHER_PAGES = [
+    """- Home
+- Products | Pricing | Docs | Blog
+- You are here: Docs > Storage > Compaction
+# Compaction
++ Compaction merges small files into larger ones, which makes scans faster, and drops rows that were deleted earlier.
++ It runs in the background, once an hour by default, and can be paused while a backup is taken.
+## Cookies
++ The console keeps a session cookie, a theme cookie, and a consent cookie, each for a year, and they hold no personal data.
++ Delete them in the browser, reload, and log in again, if the console shows an old account after an upgrade.
+## Limits
++ Files per merge: 64
++ Threads: 4
+- Was this page helpful? Yes No
+- Last updated on 2023-04-11 by the docs team
+- Read next
+- Merge Policies
+- Table Layouts
+- © 2023 Kiln Systems, Inc. All rights reserved.
+- Privacy Policy
+- Terms of Use""",
+    """- Skip to content
+- Sign in
+- Register
+# Best sourdough for beginners
+- By Anna Holt · 7 min read · 2314 views
++ Mix flour, water, and salt, then let the dough rest for an hour, covered with a towel, in a warm place.
++ Fold it four times, wait until it has doubled, and bake it in a hot pot, lid on, for half an hour.
++ 500 g flour
++ 350 g water
++ 10 g salt
+- Share this recipe with a friend
+- Sign up for our newsletter and never miss a bake
+- 12 comments
+- Advertisement
+- We and our partners use cookies to improve this site. Manage your consent.
+- Reproduced with permission, no guarantee of results""",
+    """- Startseite
+- Suche
+# Pumpen warten
++ Vor der Wartung wird die Pumpe vom Netz getrennt, entleert und mindestens zehn Minuten lang abgekühlt.
++ Danach prüft man die Dichtung, tauscht das Öl und schreibt die Stunden in das Heft.
+- Diese Seite verwendet Cookies, Einstellungen
+- Zuletzt bearbeitet 2022-01-03
+- Datenschutz, Impressum
+- Alle Rechte vorbehalten""",
+]
+
+
+def as_page(listing):
+    rows = [x.split(" ", 1) for x in listing.split("\n")]
+    return "\n".join(x for _, x in rows), "\n".join(f"{k} {x}" if k[0] == "#" else x for k, x in rows), {i for i, (k, _) in enumerate(rows, 1) if k == "-"}
+
+
+def test_pages_of_other_sites():
+    hit = found = true = 0
+    for listing in OTHER_PAGES:
+        text, marked, want = as_page(listing)
+        got = {*body_lines(text, marked, None)[1]}
+        hit, found, true = hit + len(got & want), found + len(got), true + len(want)
+    assert hit >= 0.9 * true and hit >= 0.95 * found
+
+
+def test_the_tree_decides_where_evidence_is_open():
+    """An article on cookies keeps its sentences; the same evidence among furniture goes with it."""
+    text, marked, _ = as_page(OTHER_PAGES[0])
+    lines = [normal(x) for x in text.split("\n")]
+    console = next(i for i, x in enumerate(lines, 1) if x.startswith("the console keeps"))
+    body, _ = body_lines(text, marked, None)
+    alone, _ = body_lines("\n".join(["Home", "Log in", lines[console - 1], "Privacy Policy", "All rights reserved"] + ["Sign in to reply"] * 6 + ["word, " * 200]), None, None)
+    assert evidence(lines[console - 1]) > 0.3 and console in body and 12 in alone
+    off, _ = body_lines(text, marked, None, share=0.0, max_density=0.0)
+    assert off != body
+
+
 def test_main_body_edge_cases(spark):
     df = pages(spark, ARTICLE, None, "", "Home\nHelp\nForum", "word, " * 50_000, ARTICLE)
     rows = main_body(df.drop("body")).orderBy("page_id").collect()
