@@ -16,14 +16,18 @@ from pyspark.sql import functions as F
 from docloom.shared import durable, small
 
 _WORD = re.compile(r"[a-z0-9]+")
-#: Values of a signature, two bytes each. Order t of the forest begins with values 3t, 3t + 1, 3t + 2.
+#: Values of a signature, two bytes each. Orders read disjoint runs of them.
 VALUES = 64
-ORDERS = 21
-BASE_DEPTH = 3
-#: A region of one order with more texts is compared in blocks of about this size.
+#: Chance with which a pair at the threshold may be missed by all orders.
+MISS = 0.01
+#: Thresholds below this would need orders of one value, where most texts are neighbours of most others.
+LEAST_THRESHOLD = 0.35
+#: A region of up to so many texts is compared one value higher up, where more neighbours are found.
+SPARSE = 32
+#: A region of one order with more texts is compared in blocks.
 REGION = 128
-#: Bits of the sketch in which texts at the threshold differ, of 64: 0.2 x 64 and three standard deviations.
-SKETCH_BITS = 23
+#: Texts and shingles of a block of a crowded region, about.
+BLOCK, BLOCK_SHINGLES = 512, 400_000
 #: Copies of one text up to which all their pairs are listed; of more, only those with the first.
 EXPAND = 64
 _rng = np.random.default_rng(20240229)
@@ -113,43 +117,133 @@ def shingle_sets(size: int):
     return run
 
 
-def region(order: Column, depth: int) -> Column:
-    """Key of the region of a signature in an order: its first ``depth`` values there.
+def forest(threshold: float) -> tuple[int, int, int]:
+    """Depth and number of the orders for a threshold, and the bits of 64 in which sketches of such texts may differ.
 
-    Order t reads the signature from value 3t on, in turn and around the end.
+    The deepest orders that ``VALUES`` values allow are taken of which all miss a pair at the threshold with a
+    probability of at most ``MISS``; a bit of the sketch differs with half the dissimilarity, and three standard
+    deviations more are allowed.
     """
-    begin = order * BASE_DEPTH * 2
-    return F.xxhash64(order, F.substring(F.concat("sig", "sig"), begin + 1, F.lit(2 * depth)))
+    if not LEAST_THRESHOLD <= threshold <= 1:
+        raise ValueError(f"threshold must be from {LEAST_THRESHOLD} to 1")
+    depth = max(d for d in range(1, 9) if (1 - threshold**d) ** (VALUES // d) <= MISS)
+    p = (1 - threshold) / 2
+    return depth, VALUES // depth, int(np.ceil(64 * p + 3 * np.sqrt(64 * p * (1 - p))))
 
 
-def _pairs(rows: DataFrame, by: list[str]) -> DataFrame:
-    """Pairs of nodes within groups of bounded size whose sketches are near."""
-    groups = rows.groupBy(*by).agg(F.collect_list(F.struct("node", "sketch")).alias("m")).where(F.size("m") > 1)
-    one = groups.select(F.explode("m").alias("p"), "m")
-    near = F.filter("m", lambda x: (x["node"] > F.col("p.node")) & (F.bit_count(x["sketch"].bitwiseXOR(F.col("p.sketch"))) <= SKETCH_BITS))
-    return one.select(F.col("p.node").alias("a"), F.explode(near).alias("q")).select("a", F.col("q.node").alias("b"))
+def region(order: Column, begin: Column, depth: int) -> Column:
+    """Key of the region of a signature in an order: its first ``depth`` values from ``begin`` on."""
+    return F.xxhash64(order, F.lit(depth), F.substring(F.col("sig"), 2 * begin + 1, F.lit(2 * depth)))
 
 
-def candidates(nodes: DataFrame, region_size: int = REGION) -> DataFrame:
-    """Distinct pairs (a < b) of nodes that are neighbours in some order.
+def _apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Bits in which 64-bit sketches differ; of signed numbers NumPy would count those of the absolute value."""
+    return np.bitwise_count((x ^ y).view(np.uint64))
 
-    In each of ``ORDERS`` sorted orders of the signature, texts with the same first ``BASE_DEPTH`` values are
-    neighbours, however many they are: what the forest finds doesn't depend on the size of the table. Sizes of regions
-    are counted with a partial count before the shuffle; regions of more than ``region_size`` texts are cut into hashed
-    blocks of about that size, and each pair of blocks is compared, so only groups of bounded size are gathered.
+
+def neighbours(bits: int):
+    """Arrow batches (r, node, sketch), sorted by r, to pairs (a, b) of nodes in runs of one r whose sketches are near.
+
+    Runs are of bounded size: the last of a batch waits for the next batch.
     """
-    rows = nodes.select("node", "sig", "sketch", F.explode(F.sequence(F.lit(0), F.lit(ORDERS - 1))).alias("o"))
+
+    def pairs(r: np.ndarray, node: np.ndarray, sketch: np.ndarray) -> pa.RecordBatch:
+        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        i, d = np.arange(len(r)), 0
+        while len(i):
+            d += 1
+            i = i[: np.searchsorted(i, len(r) - d)]
+            i = i[r[i] == r[i + d]]
+            near = i[_apart(sketch[i], sketch[i + d]) <= bits]
+            x, y = node[near], node[near + d]
+            a.append(np.minimum(x, y)), b.append(np.maximum(x, y))
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = [np.zeros(0, np.int64)] * 3
+        for batch in batches:
+            now = [np.concatenate([x, batch.column(k).to_numpy()]) for k, x in enumerate(rest)]
+            if not len(now[0]):
+                continue
+            cut = int(np.argmax(now[0] == now[0][-1])) if now[0][0] != now[0][-1] else 0
+            rest = [x[cut:] for x in now]
+            yield pairs(*(x[:cut] for x in now))
+        yield pairs(*rest)
+
+    return run
+
+
+def placed(nodes: DataFrame, depth: int, orders: int) -> tuple[DataFrame, DataFrame]:
+    """Each node's region in each order (o, r, node, sketch), and the crowded regions (r, count).
+
+    Texts that share the first values of a sorted order are neighbours there. A region is as deep as it has to be:
+    ``depth`` values, or one less where only ``SPARSE`` texts share those. No region is deeper, however many texts it
+    has, so that what is found doesn't depend on the table's size. Sizes are counted with a partial count first.
+    """
+    rows = nodes.select("node", "sig", "sketch", F.explode(F.sequence(F.lit(0), F.lit(orders - 1))).alias("o"))
+    begin = F.col("o") * depth
     # the signature doesn't travel: regions are hashes
-    flat = rows.select(region(F.col("o"), BASE_DEPTH).alias("r"), "node", "sketch")
-    hot = durable(flat.groupBy("r").count().where(F.col("count") > region_size).select("r", "count"))
-    if hot.isEmpty():
-        return _pairs(flat, ["r"]).distinct()
-    whole = _pairs(flat.join(small(hot.select("r")), "r", "left_anti"), ["r"])
-    parts = small(hot.select("r", F.ceil(F.col("count") / region_size).cast("int").alias("k")))
-    own = flat.join(parts, "r").withColumn("i", F.pmod(F.xxhash64("node", F.lit(1)), F.col("k")).cast("int"))
-    met = own.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
-    blocks = _pairs(met.select("r", F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi"), "node", "sketch"), ["r", "lo", "hi"])
-    return whole.unionByName(blocks).distinct()
+    flat = rows.select("o", "node", "sketch", region(F.col("o"), begin, depth).alias("r"), region(F.col("o"), begin, depth - 1).alias("up"))
+    if depth > 1:
+        dense = durable(flat.groupBy("up").count().where(F.col("count") > SPARSE).select("up", F.lit(True).alias("dense")))
+        flat = flat.join(small(dense), "up", "left").withColumn("r", F.when(F.col("dense"), F.col("r")).otherwise(F.col("up")))
+        counted = flat.where("dense")
+    else:
+        counted = flat
+    crowded = durable(counted.groupBy("r").count().where(F.col("count") > REGION))
+    return flat.select("o", "r", "node", "sketch"), crowded
+
+
+def candidates(flat: DataFrame, crowded: DataFrame, bits: int) -> DataFrame:
+    """Distinct pairs (a < b) of nodes that are neighbours in some region that isn't crowded."""
+    rows = flat if crowded.isEmpty() else flat.join(small(crowded.select("r")), "r", "left_anti")
+    ordered = rows.select("r", "node", "sketch").repartition("r").sortWithinPartitions("r")
+    return ordered.mapInArrow(neighbours(bits), "a long, b long").distinct()
+
+
+def crowd_links(threshold: float, bits: int):
+    """A function of one pair of blocks of a crowded region to its links (a, b, n, m): shared and summed shingles.
+
+    Pairs whose sketches are near are compared exactly: few of them set by set, many by products of incidence
+    matrices, a slice of the shingles at a time. A pair is left to the first order in which its nodes meet.
+    """
+
+    def meet(rows: pa.Table) -> pa.Table:
+        node, own, order = rows.column("node").to_numpy(), rows.column("i").to_numpy(), rows.column("o").to_numpy()[0]
+        sketch = rows.column("sketch").to_numpy()
+        lists = rows.column("shingles").combine_chunks()
+        size, values = np.diff(lists.offsets.to_numpy()), lists.flatten().to_numpy()
+        starts = np.concatenate([[0], np.cumsum(size)])
+        regions = np.asarray(rows.column("regions").combine_chunks().flatten().to_numpy(), np.int64).reshape(len(node), -1)
+        lo, hi = rows.column("lo").to_numpy()[0], rows.column("hi").to_numpy()[0]
+        left, right = np.nonzero(own == lo)[0], np.nonzero(own == hi)[0]
+        x, y = np.nonzero(_apart(sketch[left][:, None], sketch[right][None, :]) <= bits)
+        x, y = left[x], right[y]
+        keep = node[x] < node[y] if lo == hi else node[x] != node[y]
+        x, y = x[keep], y[keep]
+        first = ~(regions[x][:, :order] == regions[y][:, :order]).any(1) if order else np.ones(len(x), bool)
+        x, y = x[first], y[first]
+        if len(x) <= 20 * len(node):
+            parts = np.split(values, starts[1:-1])
+            shared = np.array([len(np.intersect1d(parts[p], parts[q], assume_unique=True)) for p, q in zip(x, y)], np.int64)
+        else:
+            _, code, times = np.unique(values, return_inverse=True, return_counts=True)
+            at = np.repeat(np.arange(len(node)), size)
+            fine = times[code] > 1  # others are in one text only
+            dense, code = np.unique(code[fine], return_inverse=True)
+            at, total = at[fine], np.zeros((len(node), len(node)), np.float32)
+            for begin in range(0, len(dense), 4096):
+                inside = (code >= begin) & (code < begin + 4096)
+                there = np.zeros((len(node), min(4096, len(dense) - begin)), np.float32)
+                there[at[inside], code[inside] - begin] = 1
+                total += there @ there.T
+            shared = total[x, y].astype(np.int64)
+        both = size[x] + size[y]
+        link = shared * (1 + threshold) >= threshold * both - 1e-9
+        a, b = node[x[link]], node[y[link]]
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b), "n": shared[link].astype(np.int32), "m": both[link].astype(np.int32)})
+
+    return meet
 
 
 @dataclass
@@ -184,14 +278,17 @@ class NearDuplicates:
 def near_duplicates(texts: DataFrame, key: str, text: str, threshold: float = 0.8, shingle: int = 5, least_words: int = 20) -> NearDuplicates:
     """Texts whose sets of word shingles have a Jaccard similarity of at least ``threshold``.
 
-    Words are the maximal runs of a-z and 0-9 of the lower-cased text. Texts of the same words are one node. Nodes
-    that the forest makes neighbours are compared exactly, by their whole sets; a neighbourhood at the threshold 0.6
-    is missed with a probability of 0.6 percent, above it with less.
+    Words are the maximal runs of a-z and 0-9 of the lower-cased text. Texts of the same words are one node. A forest
+    of sorted orders of the signature makes nodes neighbours (``forest``, ``placed``), and neighbours are compared
+    exactly, by their whole sets. Regions of more than ``REGION`` texts are cut into hashed blocks of about ``BLOCK``
+    texts, and each pair of blocks is compared as a group of its own, so that only bounded groups are gathered and no
+    pair is lost. A pair at the threshold is missed with a probability of at most ``MISS``, above it with less.
 
     Texts that are null or have fewer than ``least_words`` words take no part. Keys must be unique and not null; rows
     with null keys take no part, repeated rows are copies of each other. Other columns are not carried along. An
-    empty table gives empty results.
+    empty table gives empty results. Thresholds below ``LEAST_THRESHOLD`` raise ``ValueError``.
     """
+    depth, orders, bits = forest(threshold)
     base = texts.select(F.col(key).alias("key"), F.col(text).alias("text")).where("key IS NOT NULL")
     kind = base.schema["key"].dataType.simpleString()
     sigs = durable(base.mapInArrow(signatures(shingle, least_words), f"key {kind}, node long, sig binary, sketch long"))
@@ -200,13 +297,28 @@ def near_duplicates(texts: DataFrame, key: str, text: str, threshold: float = 0.
     members = sigs.select("key", "node").join(classes, "node")
     copied = small(classes.where("copies > 1").select("node", "first"))
     nodes = sigs.join(copied, "node", "left").where("first IS NULL OR key = first").select("node", "sig", "sketch")
-    pairs = durable(candidates(nodes))
-    asked = durable(pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).distinct().join(classes, "node").select("node", F.col("first").alias("key")))
-    sets = durable(base.join(small(asked), "key").select("node", "text").mapInArrow(shingle_sets(shingle), "node long, shingles array<long>"))
+
+    def sets_of(asked: DataFrame) -> DataFrame:
+        keys = durable(asked.join(classes, "node").select("node", F.col("first").alias("key")))
+        return durable(base.join(small(keys), "key").select("node", "text").mapInArrow(shingle_sets(shingle), "node long, shingles array<long>"))
+
+    flat, crowded = placed(nodes, depth, orders)
+    pairs = durable(candidates(flat, crowded, bits))
+    sets = sets_of(pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).distinct())
     a = sets.select(F.col("node").alias("a"), F.col("shingles").alias("s"))
     b = sets.select(F.col("node").alias("b"), F.col("shingles").alias("t"))
-    both = F.size(F.array_intersect("s", "t"))
-    rated = pairs.join(a, "a").join(b, "b").select("a", "b", both.alias("n"), (F.size("s") + F.size("t")).alias("m"))
+    rated = pairs.join(a, "a").join(b, "b").select("a", "b", F.size(F.array_intersect("s", "t")).alias("n"), (F.size("s") + F.size("t")).alias("m"))
     # n / (m - n) >= threshold
-    links = rated.where(F.col("n") * (1 + threshold) >= threshold * F.col("m") - 1e-9).select("a", "b", (F.col("n") / (F.col("m") - F.col("n"))).alias("similarity"))
-    return NearDuplicates(members, durable(links))
+    links = rated.where(F.col("n") * (1 + threshold) >= threshold * F.col("m") - 1e-9)
+    if not crowded.isEmpty():
+        there = durable(flat.join(small(crowded), "r"))
+        met = there.select("node").distinct()
+        sets = sets_of(met)
+        regions = flat.join(small(durable(met)), "node", "left_semi").groupBy("node").agg(F.transform(F.array_sort(F.collect_list(F.struct("o", "r"))), lambda x: x["r"]).alias("regions"))
+        full = durable(there.join(sets, "node").join(regions, "node"))
+        cuts = full.groupBy("r").agg(F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum(F.size("shingles")) / BLOCK_SHINGLES)).cast("int").alias("k"))
+        own = full.join(small(durable(cuts)), "r").withColumn("i", F.pmod(F.xxhash64("node", F.lit(1)), F.col("k")).cast("int"))
+        facing = own.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
+        blocks = facing.select("r", F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi"), "i", "o", "node", "sketch", "shingles", "regions")
+        links = links.unionByName(blocks.groupBy("r", "lo", "hi").applyInArrow(crowd_links(threshold, bits), "a long, b long, n int, m int")).distinct()
+    return NearDuplicates(members, durable(links.select("a", "b", (F.col("n") / (F.col("m") - F.col("n"))).alias("similarity"))))

@@ -62,31 +62,62 @@ def test_near_duplicates_against_brute_force(spark):
     assert found <= want and len(found) >= 0.98 * len(want) > 50
 
 
-def test_small_regions_still_find_close_texts(spark, monkeypatch):
-    monkeypatch.setattr(neardup.candidates, "__defaults__", (4, 4))
-    rows = some_texts(150, 2)
-    df = spark.createDataFrame(rows, "key string, text string")
-    found, want = pairs_of(near_duplicates(df, "key", "text", 0.6, 3)), true_pairs(rows, 0.6)
-    assert found <= want and len(found & true_pairs(rows, 0.9)) >= 0.95 * len(true_pairs(rows, 0.9))
+@pytest.mark.parametrize("threshold", [0.4, 0.6, 0.8])
+def test_orders_follow_the_threshold(spark, threshold):
+    depth, orders, _ = neardup.forest(threshold)
+    assert depth * orders <= neardup.VALUES and (1 - threshold**depth) ** orders <= neardup.MISS
+    rng = random.Random(7)
+    vocabulary = [f"w{i}" for i in range(4000)]
+    rows = []
+    for i in range(200):
+        w = rng.choices(vocabulary, k=60)
+        rows.append((f"a{i:03}", " ".join(w)))
+        for at in rng.sample(range(60), round((1 - threshold) * 11)):
+            w[at] = rng.choice(vocabulary)
+        rows.append((f"b{i:03}", " ".join(w)))
+    found, want = pairs_of(near_duplicates(spark.createDataFrame(rows, "key string, text string"), "key", "text", threshold, 3)), true_pairs(rows, threshold)
+    assert found <= want and len(want) >= 40 and len(found) >= 0.97 * len(want)
 
 
-def test_a_crowded_family_is_found_as_well_as_others(spark, monkeypatch):
-    # a third of the rows are edited copies of one text, most pairs of them near the threshold
-    monkeypatch.setattr(neardup.candidates, "__defaults__", (8, *neardup.candidates.__defaults__[1:]))
-    rng = random.Random(4)
+def test_thresholds_that_no_order_serves(spark):
+    for bad in (0.2, 1.1):
+        with pytest.raises(ValueError):
+            near_duplicates(spark.createDataFrame([], "key string, text string"), "key", "text", bad)
+
+
+def family(n, words, least, most, seed):
+    """Edited copies of one text, most pairs of them near the threshold."""
+    rng = random.Random(seed)
     vocabulary = [f"w{i}" for i in range(3000)]
-    first = rng.choices(vocabulary, k=90)
-    family = []
-    for i in range(150):
+    first = rng.choices(vocabulary, k=words)
+    out = []
+    for i in range(n):
         w = list(first)
-        for at in rng.sample(range(90), rng.randrange(2, 8)):
+        for at in rng.sample(range(words), rng.randrange(least, most)):
             w[at] = rng.choice(vocabulary)
-        family.append((f"f{i:03}", " ".join(w)))
-    rows = family + [(f"o{i:03}", " ".join(rng.choices(vocabulary, k=60))) for i in range(300)]
+        out.append((f"f{i:04}", " ".join(w)))
+    return out + [(f"o{i:04}", " ".join(rng.choices(vocabulary, k=60))) for i in range(2 * n)]
+
+
+@pytest.mark.parametrize("block", [512, 20])
+def test_a_crowded_family_is_found_as_well_as_others(spark, monkeypatch, block):
+    # a third of the rows in one region; small regions and blocks, so that all of it goes through pairs of blocks
+    for name, value in (("SPARSE", 4), ("REGION", 8), ("BLOCK", block)):
+        monkeypatch.setattr(neardup, name, value)
+    rows = family(150, 90, 2, 8, 4)
     found, want = pairs_of(near_duplicates(spark.createDataFrame(rows, "key string, text string"), "key", "text", 0.6, 3)), true_pairs(rows, 0.6)
     assert found <= want and len(want) > 3000 and len(found) >= 0.99 * len(want)
 
 
+def test_a_family_of_a_thousand(spark):
+    rows = family(1000, 200, 8, 13, 5)
+    near = near_duplicates(spark.createDataFrame(rows, "key string, text string"), "key", "text", 0.6, 3)
+    want = true_pairs(rows[:1000], 0.6)
+    links = near.links.count()
+    assert 0.95 * len(want) <= links <= len(want) and len(want) > 100_000
+    assert near.classes().agg(F.sum("links")).first()[0] == 2 * links
+
+
 def test_groups_of_copies(spark):
     text = " ".join(f"a{i}" for i in range(40))
     rows = [(f"c{i:03}", text.upper() if i % 2 else text) for i in range(90)] + [("d", text + " more")]
