@@ -68,9 +68,8 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p4_neighbours(spark: SparkSession, d: str) -> DataFrame:
-    """The five most similar other children, however far, of every usable row; every code is scored for every row."""
-    rows = table(spark, d, "children").select("chunk_id", "embedding")
-    return search(rows, rows, "chunk_id", "embedding", k=5)
+    """The five most similar other children, however far, of every usable row."""
+    return most_similar(table(spark, d, "children").select("chunk_id", "embedding"), "chunk_id", "embedding", k=5)
 
 
 def p4_search(spark: SparkSession, d: str) -> DataFrame:

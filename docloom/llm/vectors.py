@@ -24,6 +24,8 @@ CELL = 4_096
 MAX_DEPTH = 6
 #: Vectors that cells hold on average at most; deeper prefixes of the codes make more cells for more vectors.
 OCCUPANCY = 64
+#: Similarity from which cells find nearly all neighbours; vectors with fewer than k such are looked up among all codes.
+NEAR = 0.85
 #: Rows of cells that make up a partition: scoring takes far longer than its few bytes suggest.
 PARTITION_ROWS = 50_000
 
@@ -233,7 +235,55 @@ def cosine(a: Column, b: Column) -> Column:
     return d(a, b) / F.sqrt(d(a, a) * d(b, b))
 
 
-def most_similar(vectors: DataFrame, key: str, column: str, k: int = 5, min_similarity: float = -1.0, dim: int = 64, slack: float = 0.25) -> DataFrame:
+def _coded(books: Codebooks, dim: int):
+    """Arrow batches (key, vector) to (key, code_a, code_b, norm)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, len(whole), 2000):
+                b = whole.slice(at, 2000)
+                codes, _, _ = books.encode(_matrix(b.column(1), dim), BEAM, 1)
+                packed = np.ascontiguousarray(codes).view(np.int64)
+                norms = np.linalg.norm(books.decode(codes), axis=1).astype(np.float32)
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(packed[:, 0]), pa.array(packed[:, 1]), pa.array(norms)], names=["key", "code_a", "code_b", "norm"])
+
+    return run
+
+
+def scan(asked: DataFrame, known: DataFrame, books: Codebooks, dim: int, rerank: int, rows: int, wanted: int, block: int = 50_000) -> DataFrame:
+    """``q``, ``key``, ``s``: exact cosines of the ``rerank`` rows of ``known`` (key, v) whose codes score best for each query.
+
+    Every code is scored for every query (q, v), from the query's table of products. Both sides are cut into hashed
+    blocks of about ``block`` rows (queries a tenth of it), and each pair of blocks is a group. A block keeps its best
+    by code; a window keeps the best of all blocks, and those are compared exactly.
+    """
+    kind, asker = known.schema["key"].dataType.simpleString(), asked.schema["q"].dataType.simpleString()
+    parts, groups = max(1, -(-rows // block)), max(1, -(-wanted // (block // 10)))
+
+    def score(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not len(left) or not len(right):
+            return pa.table({"q": left.column("q").slice(0, 0), "key": right.column("key").slice(0, 0), "s": pa.array([], pa.float32())})
+        x = _matrix(left.column("v").combine_chunks(), dim)
+        codes = np.column_stack([right.column("code_a").to_numpy(), right.column("code_b").to_numpy()]).view(np.uint8)
+        norms = right.column("norm").to_numpy()
+        n = min(rerank + 1, len(norms))
+        a, b, s = [], [], []
+        for at in range(0, len(x), 128):
+            t = books.scores(x[at : at + 128], codes, norms)
+            i = np.argpartition(t, len(norms) - n, axis=1)[:, len(norms) - n :]
+            a.append(np.repeat(np.arange(at, at + len(t)), n)), b.append(i.ravel()), s.append(np.take_along_axis(t, i, 1).ravel())
+        a, b, s = (np.concatenate(z) for z in (a, b, s))
+        return pa.table({"q": left.column("q").take(pa.array(a)), "key": right.column("key").take(pa.array(b)), "s": s.astype(np.float32)})
+
+    coded = known.select("key", "v").mapInArrow(_coded(books, dim), f"key {kind}, code_a long, code_b long, norm float")
+    coded = coded.withColumn("p", F.pmod(F.xxhash64("key"), F.lit(parts))).withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)).cast("array<long>")))
+    spread = asked.withColumn("g", F.pmod(F.xxhash64("q"), F.lit(groups))).withColumn("p", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)).cast("array<long>")))
+    scored = spread.groupBy("g", "p").cogroup(coded.groupBy("g", "p")).applyInArrow(score, f"q {asker}, key {kind}, s float").where("q <> key")
+    best = scored.withColumn("r", F.row_number().over(W.partitionBy("q").orderBy(F.desc("s"), "key"))).where(F.col("r") <= rerank).select("q", "key")
+    return best.join(known, "key").join(asked.withColumnRenamed("v", "x"), "q").select("q", "key", cosine(F.col("x"), F.col("v")).alias("s"))
+
+
+def most_similar(vectors: DataFrame, key: str, column: str, k: int = 5, min_similarity: float = -1.0, dim: int = 64, slack: float = 0.25, rerank: int = 200) -> DataFrame:
     """``key``, ``neighbour``, ``similarity``, ``rank``: the ``k`` most similar other rows of every row.
 
     Codebooks are fitted on ``SAMPLE`` vectors; every vector is encoded by beam search and compared, by lookup tables
@@ -241,10 +291,14 @@ def most_similar(vectors: DataFrame, key: str, column: str, k: int = 5, min_simi
     exactly. With ``min_similarity`` only neighbours that are at least as similar count, and codes whose cosine is more
     than ``slack`` below it aren't compared exactly.
 
+    Cells hold near vectors together, not far ones. Vectors that have fewer than ``k`` neighbours of at least ``NEAR``
+    so far are therefore looked up by ``scan`` among all codes, the best ``rerank`` being compared exactly, unless
+    ``min_similarity`` is ``NEAR`` or more. That work grows with the number of such vectors times all.
+
     Vectors that are null, not ``dim`` long, hold a null, NaN or infinite number, or are zero take no part; lengths
-    other than 1 do. Rows with null keys take no part, keys must be unique. Equal vectors are encoded once; of more
-    than k + 1 equal ones the first by key stand for all as neighbours, so that ties go to the smaller key. An empty
-    table gives an empty result; other columns are not carried along.
+    other than 1 do. Rows with null keys take no part, keys must be unique. Equal vectors (of one 64-bit hash) are
+    encoded once; of more than k + 1 equal ones the first by key stand for all as neighbours, so that ties go to the
+    smaller key. An empty table gives an empty result; other columns are not carried along.
     """
     if key in ("neighbour", "similarity", "rank"):
         raise ValueError(f"{key} is the name of an added column")
@@ -264,14 +318,24 @@ def most_similar(vectors: DataFrame, key: str, column: str, k: int = 5, min_simi
     full = durable(nodes.join(small(asked), "node", "left_semi"))
     exact = pairs.join(full.select(F.col("node").alias("a"), F.col("v").alias("x")), "a").join(full.select(F.col("node").alias("b"), F.col("v").alias("y")), "b")
     rated = durable(exact.select("a", "b", cosine(F.col("x"), F.col("y")).alias("s")).where(F.col("s") >= min_similarity))
+    turned = lambda x: x.select(F.col("a").alias("node"), F.col("b").alias("other"), "s").unionAll(x.select(F.col("b").alias("node"), F.col("a").alias("other"), "s"))
+
+    if min_similarity < NEAR:
+        sizes = counts.select(F.col("node").alias("other"), "n")
+        held = turned(rated.where(F.col("s") >= NEAR)).join(sizes, "other").groupBy("node").agg(F.sum("n").alias("held"))
+        settled = counts.join(held, "node", "left").where(F.coalesce("held", F.lit(0)) + F.col("n") - 1 >= k).select("node")
+        open_ = durable(nodes.join(small(durable(settled)), "node", "left_anti"))
+        if wanted := open_.count():
+            looked = scan(open_.select(F.col("node").alias("q"), "v"), nodes.select(F.col("node").alias("key"), "v"), books, dim, rerank, total[0], wanted)
+            top = looked.withColumn("r", F.row_number().over(W.partitionBy("q").orderBy(F.desc("s"), "key"))).where((F.col("r") <= k + 1) & (F.col("s") >= min_similarity))
+            rated = durable(rated.unionByName(top.select(F.least("q", "key").alias("a"), F.greatest("q", "key").alias("b"), "s")).groupBy("a", "b").agg(F.max("s").alias("s")))
 
     # of a node with many rows, k + 1 can be neighbours of any one row; counted in hashed parts first
     part = rows.withColumn("p", F.pmod(F.xxhash64("key"), F.lit(64)))
     few = part.withColumn("r", F.row_number().over(W.partitionBy("node", "p").orderBy("key"))).where(F.col("r") <= k + 1)
     shown = few.withColumn("r", F.row_number().over(W.partitionBy("node").orderBy("key"))).where(F.col("r") <= k + 1).select("node", "key") if total[1] > total[0] else rows
-    both = rated.select(F.col("a").alias("node"), F.col("b").alias("other"), "s").unionAll(rated.select(F.col("b").alias("node"), F.col("a").alias("other"), "s"))
     same = counts.where("n > 1").select("node", F.col("node").alias("other"), F.lit(1.0).alias("s"))
-    near = both.withColumn("r", F.row_number().over(W.partitionBy("node").orderBy(F.desc("s"), "other"))).where(F.col("r") <= k + 1).drop("r").unionAll(same)
+    near = turned(rated).withColumn("r", F.row_number().over(W.partitionBy("node").orderBy(F.desc("s"), "other"))).where(F.col("r") <= k + 1).drop("r").unionAll(same)
     # each node's neighbours as rows, then those of each of its rows
     listed = near.join(shown.select(F.col("node").alias("other"), F.col("key").alias("neighbour")), "other")
     listed = listed.withColumn("r", F.row_number().over(W.partitionBy("node").orderBy(F.desc("s"), "neighbour"))).where(F.col("r") <= k + 1).drop("r")
@@ -283,48 +347,14 @@ def most_similar(vectors: DataFrame, key: str, column: str, k: int = 5, min_simi
 def search(queries: DataFrame, base: DataFrame, key: str, column: str, k: int = 5, dim: int = 64, rerank: int = 200, block: int = 50_000) -> DataFrame:
     """``key`` (of the query), ``neighbour``, ``similarity``, ``rank``: the k most similar other rows of ``base``.
 
-    Every row of ``base`` is encoded and scored for every query, from the query's table of products, whatever cell it
-    is in; the ``rerank`` best of each query are compared exactly. Queries are a stated set: both sides are cut into
-    blocks of at most about ``block`` rows (queries a tenth of it), and each pair of blocks is a group.
+    Every row of ``base`` is encoded and scored for every query, whatever cell it is in (``scan``); the ``rerank`` best
+    of each query are compared exactly. Queries are a stated set.
 
     The rows that take part are those of ``most_similar``. Repeated queries or keys give repeated rows.
     """
     known = base.where(F.col(key).isNotNull() & usable(column, dim)).select(F.col(key).alias("key"), F.col(column).cast("array<float>").alias("v"))
     asked = queries.where(F.col(key).isNotNull() & usable(column, dim)).select(F.col(key).alias("q"), F.col(column).cast("array<float>").alias("v"))
-    kind = known.schema["key"].dataType.simpleString()
     rows, wanted = known.count(), asked.count()
-    books = train(known, "v", dim, rows)
-    parts, groups = max(1, -(-rows // block)), max(1, -(-wanted // (block // 10)))
-
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, len(whole), 2000):
-                b = whole.slice(at, 2000)
-                codes, _, _ = books.encode(_matrix(b.column(1), dim), BEAM, 1)
-                packed = np.ascontiguousarray(codes).view(np.int64)
-                norms = np.linalg.norm(books.decode(codes), axis=1).astype(np.float32)
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(packed[:, 0]), pa.array(packed[:, 1]), pa.array(norms)], names=["key", "code_a", "code_b", "norm"])
-
-    def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not len(left) or not len(right):
-            return pa.table({"q": left.column("q").slice(0, 0), "key": right.column("key").slice(0, 0), "s": pa.array([], pa.float32())})
-        x = _matrix(left.column("v").combine_chunks(), dim)
-        codes = np.column_stack([right.column("code_a").to_numpy(), right.column("code_b").to_numpy()]).view(np.uint8)
-        norms = right.column("norm").to_numpy()
-        n = min(rerank + 1, len(norms))
-        a, b, s = [], [], []
-        for at in range(0, len(x), 128):
-            t = books.scores(x[at : at + 128], codes, norms)
-            i = np.argpartition(t, len(norms) - n, axis=1)[:, len(norms) - n :]
-            a.append(np.repeat(np.arange(at, at + len(t)), n)), b.append(i.ravel()), s.append(np.take_along_axis(t, i, 1).ravel())
-        a, b, s = (np.concatenate(z) for z in (a, b, s))
-        return pa.table({"q": left.column("q").take(pa.array(a)), "key": right.column("key").take(pa.array(b)), "s": s.astype(np.float32)})
-
-    coded = known.mapInArrow(encode, f"key {kind}, code_a long, code_b long, norm float")
-    coded = coded.withColumn("p", F.pmod(F.xxhash64("key"), F.lit(parts))).withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)).cast("array<long>")))
-    spread = asked.withColumn("g", F.pmod(F.xxhash64("q"), F.lit(groups))).withColumn("p", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)).cast("array<long>")))
-    scored = spread.groupBy("g", "p").cogroup(coded.groupBy("g", "p")).applyInArrow(score, f"q {kind}, key {kind}, s float").where("q <> key")
-    best = scored.withColumn("r", F.row_number().over(W.partitionBy("q").orderBy(F.desc("s"), "key"))).where(F.col("r") <= rerank).select("q", "key")
-    exact = best.join(known, "key").join(asked.withColumnRenamed("v", "x"), "q").select("q", "key", cosine(F.col("x"), F.col("v")).alias("s"))
+    exact = scan(asked, known, train(known, "v", dim, rows), dim, rerank, rows, wanted, block)
     ranked = exact.withColumn("rank", F.row_number().over(W.partitionBy("q").orderBy(F.desc("s"), "key"))).where(F.col("rank") <= k)
     return ranked.select(F.col("q").alias(key), F.col("key").alias("neighbour"), F.col("s").alias("similarity"), "rank")

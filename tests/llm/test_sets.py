@@ -204,6 +204,23 @@ def test_every_child_has_five_neighbours(spark, tmp_path):
     assert sum(len({*got[k]} & {*want[k]}) for k in ids) >= 0.95 * 5 * len(ids)
 
 
+def test_recall_over_the_test_table(spark, data):
+    from docloom.llm.queries import queries
+    from docloom.shared import table
+
+    rows = [r for r in table(spark, data, "children").select("chunk_id", "embedding").collect() if r.embedding is not None and len(r.embedding) == 64 and np.isfinite(r.embedding).all()]
+    ids = [r.chunk_id for r in rows]
+    u = np.array([r.embedding for r in rows])
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    s = u @ u.T
+    np.fill_diagonal(s, -2)
+    fifth = {k: np.sort(v)[-5] for k, v in zip(ids, s)}
+    at = {k: i for i, k in enumerate(ids)}
+    got = queries()["p4_neighbours"](spark, data).collect()
+    assert len(got) == 5 * len(ids)
+    assert sum(s[at[r.chunk_id], at[r.neighbour]] >= fifth[r.chunk_id] - 1e-6 for r in got) >= 0.95 * 5 * len(ids)
+
+
 @pytest.mark.parametrize("block", [50_000, 100])
 def test_search_against_brute_force(spark, block):
     rng = np.random.default_rng(9)
