@@ -42,6 +42,18 @@ def test_mentions_are_no_residue(line):
     assert line_residue(line, ("rod", "mod"))[0] < 0.5
 
 
+@pytest.mark.parametrize("line", ["wait 30 minutes", "access to the reader", "the owner of the reader", "seite 3", "seconds", "none", "upstream", "text for the reader", "error", "forbidden", "loading", "a todo list", "nan bread", "search or sort", "unavailable"])
+def test_everyday_words_are_no_residue(line):
+    assert line_residue(line, ("mod",))[0] == 0
+
+
+def test_messages_broken_over_lines(spark):
+    message = "Rod not\nfound on\nthis server"
+    rows = find_residue(pages(spark, message, f"{message}\nA pump moves water, steam, and oil from one tank to the next, as long as it has power, and it stops when it has none.")).orderBy("page_id").collect()
+    assert rows[0].is_residue and rows[0].residue_lines == [] and rows[0].residue_coverage > 0.8
+    assert not rows[1].is_residue and 0.05 < rows[1].residue_coverage < 0.5
+
+
 def test_find_residue(spark):
     df = pages(spark, "Title\r\nUNDEFINED\r\n[object Object]", None, "", "A long honest sentence about pumps and their pipes.", "x" * 300_000, "Title\r\nUNDEFINED\r\n[object Object]", status=200)
     rows = find_residue(df).orderBy("page_id").collect()
