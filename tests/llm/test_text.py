@@ -85,7 +85,7 @@ def test_repeated_lines_against_brute_force(spark):
     rows = [(i % 50, rng.choice(["H.test", "www.h.test", "other", None, "h.test"]), "\n".join(rng.choice(stock) if rng.random() < 0.7 else f"own line {rng.random()} here" for _ in range(8))) for i in range(60)]
     rows += [(99, "h.test", None), (100, "h.test", ""), (None, "h.test", "Share this page now")]
     df = spark.createDataFrame(rows, "page_id long, hostname string, text string")
-    lines = mine(df, "page_id", "hostname", "text").lines.where("k = 1").select("page", "n").distinct()
+    lines = mine(df, "page_id", "hostname", "text").lines.where("words >= 3").select("page", "n")
     assert {(r.page, r.n) for r in lines.collect()} == brute_force([r for r in rows if r[0] is not None])
 
 
@@ -99,7 +99,46 @@ def test_sequences_of_short_lines(spark):
     assert out[0].clean_text == "Text a of its own" and out[0].n_removed == 3
     assert out[20].clean_text == "Home\nxa\nHelp" and out[20].n_removed == 0
     found = mine(df, "page_id", "hostname", "text").sequences.collect()
-    assert {(r.source, r.k, r.support) for r in found} == {("h", 2, 12), ("h", 3, 12)}
+    assert {(r.source, r.k, r.support) for r in found} == {("h", 3, 12)}
+
+
+def sequences_by_brute_force(rows, least, words, gap):
+    """Maximal frequent sequences: (host, lines) to their pages."""
+    lines = {p: [(i, re.sub(r"[\W\d_]+", "", x.lower()), len(re.findall(r"[^\W\d_]+", x))) for i, x in enumerate(t.split("\n")) if re.search(r"[^\W\d_]", x)] for p, h, t in rows}
+    host = {p: h for p, h, _ in rows}
+    alone = {}
+    for p, ls in lines.items():
+        for pos, (_, x, w) in enumerate(ls):
+            alone.setdefault((host[p], x, w >= words), set()).add(p)
+    seen = {}
+    for p, ls in lines.items():
+        kept = [(pos, x, w) for pos, (_, x, w) in enumerate(ls) if len(alone[host[p], x, w >= words]) >= least]
+        for i in range(len(kept)):
+            for j in range(i + 1, len(kept) + 1):
+                if j > i + 1 and kept[j - 1][0] - kept[j - 2][0] > gap + 1:
+                    break
+                seen.setdefault((host[p], tuple((x, w >= words) for _, x, w in kept[i:j])), [set(), sum(w for _, _, w in kept[i:j])])[0].add(p)
+    good = {k: v[0] for k, v in seen.items() if len(v[0]) >= least and v[1] >= words}
+    inner = {(h, part) for (h, s), pages in good.items() for part in (s[1:], s[:-1]) if part and len(good.get((h, part), ())) == len(pages)}
+    return {(h, len(s), len(p)) for (h, s), p in good.items() if (h, s) not in inner}
+
+
+@pytest.mark.parametrize("gap", [0, 1])
+def test_sequences_of_any_length(spark, gap):
+    rng = random.Random(3)
+    legal = [f"Legal line {x} of the house" for x in "abcdefghijklmnopq"]
+    rows = []
+    for i in range(40):
+        block = legal[: rng.choice([17, 9, 4])]
+        if i % 3 == 0:
+            block = block[:2] + [f"title {''.join(rng.choices('xyz', k=9))}"] + block[2:]
+        rows.append((i, rng.choice("hg"), "\n".join([f"own {''.join(rng.choices('rstu', k=9))} here", *block, "Share", "", "1 2", "Print", f"end {''.join(rng.choices('rstu', k=9))}"])))
+    df = spark.createDataFrame(rows, "page_id long, hostname string, text string")
+    mined = mine(df, "page_id", "hostname", "text", min_pages=5, gap=gap)
+    got = [(r.source, r.k, r.support) for r in mined.sequences.collect()]
+    assert max(k for _, k, _ in got) >= 17 and set(got) == sequences_by_brute_force(rows, 5, 3, gap)
+    lines = mined.lines.collect()
+    assert len(lines) == len({(r.page, r.n) for r in lines}) and {(r.page, r.n) for r in lines} >= brute_force(rows, 5)
 
 
 def test_repeated_lines_of_nothing(spark):
