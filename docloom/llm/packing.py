@@ -156,7 +156,7 @@ def numbered(rows: DataFrame, group: str, order: list[str], n: int) -> DataFrame
 
 
 def pack(documents: DataFrame, key: str, text: str, capacity: int = 2048) -> DataFrame:
-    """``key``, ``piece_no``, ``n_pieces``, ``tokens``, ``container`` of every piece of every document.
+    """``key``, ``piece_no``, ``n_pieces``, ``first_token`` (from 0), ``tokens``, ``container`` of every piece of every document.
 
     Sizes are in tokens of the public rule. Documents of up to ``capacity`` tokens are one piece; larger ones are cut
     into full containers and a rest. The histogram of sizes, at most ``capacity`` numbers, is all that the driver
@@ -166,7 +166,7 @@ def pack(documents: DataFrame, key: str, text: str, capacity: int = 2048) -> Dat
     """
     if capacity < 1:
         raise ValueError("capacity must be at least 1")
-    if key in ("piece_no", "n_pieces", "tokens", "container"):
+    if key in ("piece_no", "n_pieces", "first_token", "tokens", "container"):
         raise ValueError(f"{key} is the name of an added column")
     size = F.coalesce(token_count(text), F.lit(0).cast("long"))
     sized = durable(documents.select(F.col(key).alias("_key"), size.alias("_tokens")))
@@ -185,4 +185,4 @@ def pack(documents: DataFrame, key: str, text: str, capacity: int = 2048) -> Dat
         return pd.Series(np.where(tokens > 0, base[i] + (k - keys[i]) // per[i], 0)) if len(keys) else pd.Series(np.zeros(len(k), np.int64))
 
     ranked = numbered(pieces, "tokens", ["_key", "piece_no"], n)
-    return ranked.select(F.col("_key").alias(key), "piece_no", "n_pieces", "tokens", container("tokens", "_rank").alias("container"))
+    return ranked.select(F.col("_key").alias(key), "piece_no", "n_pieces", ((F.col("piece_no") - 1) * F.lit(capacity)).cast("long").alias("first_token"), "tokens", container("tokens", "_rank").alias("container"))

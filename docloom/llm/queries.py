@@ -108,7 +108,10 @@ def p6_body(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
-    return pack(table(spark, d, "documents"), "doc_id", "text", CAPACITY).where("piece_no = 2").select("doc_id")
+    """The documents whose pieces stand in more than one container."""
+    pieces = pack(table(spark, d, "documents"), "doc_id", "text", CAPACITY)
+    ends = pieces.groupBy("doc_id").agg(F.min("container").alias("first"), F.max("container").alias("last"))
+    return ends.where("first < last").select("doc_id")
 
 
 def p7_containers(spark: SparkSession, d: str) -> DataFrame:
