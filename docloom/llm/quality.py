@@ -29,15 +29,31 @@ _MACHINE = re.compile(r"^\s*(?:\[\d\d:\d\d|\d{4}-\d\d-\d\d|[0-9a-f]{6,}\s|\{|\}|
 _DELIMITERS = "|\t;,"
 _ENDS = tuple(".!?…:;。！？\"”'’)»")
 MIN_COMMON = 0.2
+#: Lines of a list at least, its words a line at most, and the autocorrelation from which lengths or indents recur.
+LIST_LINES, SHORT, RECURRING = 6, 6, 0.6
 
 
-def lag_correlation(x: np.ndarray, lag: int) -> float:
-    """Autocorrelation of a sequence at a lag; 1 for a constant one of at least 3 values."""
-    if len(x) < lag + 2:
+def periodic(x: np.ndarray) -> float:
+    """The highest autocorrelation of a sequence over all lags up to half its length, 0 for fewer than 4 values."""
+    if len(x) < 4:
         return 0.0
     d = x - x.mean()
     v = float(d @ d)
-    return 1.0 if v < 1e-9 else float(d[lag:] @ d[:-lag]) / v
+    if v < 1e-9:
+        return 1.0
+    whole = np.fft.irfft(np.abs(np.fft.rfft(d, 2 * len(d))) ** 2)[1 : len(d) // 2 + 1] / v
+    # the overlap shrinks with the lag: what is left of it is what counts
+    return float((whole * len(d) / (len(d) - np.arange(1, len(whole) + 1))).max())
+
+
+def list_like(run: list[str]) -> bool:
+    """Whether plain lines are entries of a list or of records: many short ones, few with a stop, lengths or indents that recur."""
+    if len(run) < LIST_LINES or sum(x.rstrip().endswith(_ENDS) for x in run) > 0.2 * len(run):
+        return False
+    if sum(len(x.split()) for x in run) > SHORT * len(run) or any(_CJK.search(x) for x in run):
+        return False
+    indent = np.array([len(x) - len(x.lstrip(" \t")) for x in run], float)
+    return periodic(np.array([len(x.strip()) for x in run], float)) >= RECURRING or (indent.any() and periodic(indent) >= RECURRING)
 
 
 def columns_alike(lines: list[str]) -> list[bool]:
@@ -88,8 +104,8 @@ def measure(text: str, common: frozenset[str]) -> tuple:
     indent = np.array([len(x) - len(x.lstrip(" \t")) for x in lines], dtype=float)
     alike = columns_alike(lines)
     bullets = [_BULLET.match(x) is not None for x in lines]
-    steady = max((lag_correlation(length, k) for k in (1, 2, 3)), default=0.0)
-    period = max((lag_correlation(indent, k) for k in (1, 2, 3)), default=0.0) if indent.any() else 0.0
+    steady = periodic(length)
+    period = periodic(indent) if indent.any() else 0.0
 
     # runs of plain lines make up paragraphs; rows of tables, list items and machine output stand alone
     prose = other = 0
@@ -100,7 +116,9 @@ def measure(text: str, common: frozenset[str]) -> tuple:
         if run:
             block = " ".join(run)
             k = sum(len(x) for x in run)
-            if prose_like(block, common):
+            if list_like(run):
+                other += k
+            elif prose_like(block, common):
                 prose += k
             else:
                 # one paragraph may hold both: judge its sentences
@@ -164,7 +182,8 @@ def text_quality(documents: DataFrame, words: DataFrame, text: str = "text", lea
     """``documents`` with the statistics of ``SCHEMA`` and ``is_prose``.
 
     ``is_prose`` holds where at least ``least_prose`` of the characters stand in running sentences. Rows of tables
-    (the same delimiters or column gaps as in the next row), items of lists and lines of machine output don't;
+    (the same delimiters or column gaps as in the next row), items of lists, runs of short lines without stops whose
+    lengths or indents recur (autocorrelation over all lags) and lines of machine output don't;
     paragraphs do if enough of their words are common ones and not too many are numbers or symbols.
     Null text gives null statistics and null ``is_prose``; a text without words has zeros and is no prose.
     Repeated rows give the same; columns named like added ones are replaced; an empty table stays empty.

@@ -279,6 +279,7 @@ def test_prose(text):
     "text",
     [
         "| a | 1 | x |\n|---|---|---|\n| b | 2 | y |", "Pump,12,iron,3.5,yes\nTank,13,tin,4.5,no", "Pump      12   iron\nTank      13   tin", "1. Big Pump\n2. Small Tank\n3. Old Valve", "[12:00:01] [Net/WARN]: a.b@1f\n[12:00:02] [Net/WARN]: c.d@2e",
+        "\n".join(f"Name of the {a}\n  made by {b}\n  weight is {i}\n" for i, (a, b) in enumerate([("pump", "Ann"), ("tank", "Bob"), ("rod", "Cid"), ("lamp", "Dan")])),
         "00000000  20 41 0a cd 01\n00000010  d0 0f 3f f1 cb", '{"a":{"id":1,"v":[1,2]}}', "Zul vel kre kroas zal gar fil noa. Huz flu gre dre cro bra.", "$+~~$1]<<=^<#bb[#1{^[#1$@", "- Craft [Table]: 5 × Crate, 1 × Rod → Antenna", "",
     ],
 )
