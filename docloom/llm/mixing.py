@@ -11,7 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from docloom.functions.tokens import token_count
-from docloom.shared import durable
+from docloom.shared import durable, small
 
 #: Topics are the last words of titles, hashed into this many classes, so that the table of cells is bounded.
 TOPICS = 32
@@ -21,6 +21,8 @@ LANGUAGES = ("en", "de", "es", "zh")
 BUCKET_ROWS = 500_000
 #: Starts of the sampling that are tried for each source.
 STARTS = 32
+#: Documents of each source and power of two of their tokens that may change in the repair, for more and for fewer uses.
+REPAIR = 48
 #: Sources that a table of targets may have; cells are at most this times languages times topics.
 MAX_SOURCES = 10_000
 
@@ -60,6 +62,43 @@ def rake(cells: pd.DataFrame, goals: pd.Series, rounds: int = 50) -> np.ndarray:
     return x
 
 
+def repair(choice: pd.DataFrame) -> pd.DataFrame:
+    """Changes (_row, _turn) of single uses that bring a source's tokens, one after the other, nearest to its goal.
+
+    ``choice`` has _row, _h (its order among equals), _tokens, _turn (1 for one use more, -1 for one fewer), _now and _goal of one source. Each
+    document changes once at most; the search ends where no single change and no pair of opposite ones helps.
+    """
+    choice = choice.sort_values(["_tokens", "_turn", "_h", "_row"])
+    left = float(choice["_goal"].iloc[0]) - float(choice["_now"].iloc[0])
+    # a document that may change in both ways stands twice
+    step = (choice["_tokens"] * choice["_turn"]).to_numpy(float)
+    row, free, taken = choice["_row"].to_numpy(), np.ones(len(choice), bool), []
+
+    def take(i: int) -> None:
+        nonlocal left
+        taken.append(i)
+        free[row == row[i]] = False
+        left -= step[i]
+
+    while free.any():
+        at = np.flatnonzero(free)
+        i = at[np.abs(left - step[at]).argmin()]
+        if abs(left - step[i]) < abs(left) - 1e-9:
+            take(i)
+            continue
+        more, fewer = at[step[at] > 0], at[step[at] < 0]
+        if not len(more) or not len(fewer) or abs(left) < 1:
+            break
+        gap = np.abs(left - step[more][:, None] - step[fewer][None, :])
+        gap[row[more][:, None] == row[fewer][None, :]] = np.inf
+        i, j = np.unravel_index(gap.argmin(), gap.shape)
+        if gap[i, j] >= abs(left) - 1e-9:
+            break
+        take(more[i])
+        take(fewer[j])
+    return pd.DataFrame({"_row": row[taken], "_turn": choice["_turn"].to_numpy()[taken]})
+
+
 @dataclass
 class Mix:
     """``uses``: key, source, tokens, uses of each document; ``shares``: a row for each target."""
@@ -75,7 +114,8 @@ def mix(documents: DataFrame, targets: DataFrame, key: str, text: str, source: s
     source is its share of them, or all it has ``max_repeats`` times if that is less. Cell weights come from ``rake``
     over source, language and topic; a document of a cell of weight w is used floor(w) times and once more with the
     probability of the rest, drawn by systematic sampling along the source's
-    documents by size, with the start, of ``STARTS``, that comes nearest to the goal. ``shares`` reports tokens, goal and what was reached.
+    documents by size, with the start, of ``STARTS``, that comes nearest to the goal; what is left is made up by single uses more or fewer of up to ``REPAIR`` documents of
+    each size class (``repair``). ``shares`` reports tokens, goal and what was reached.
 
     Sources are compared in lower case without outer blanks. Documents with null source, or one that is no target,
     are used 0 times; null text has 0 tokens; null language or title make a cell of their own. Repeated rows count and
@@ -116,7 +156,7 @@ def mix(documents: DataFrame, targets: DataFrame, key: str, text: str, source: s
     part = joined.withColumn("_part", F.pmod(F.xxhash64("_key"), parts).cast("int")).withColumn("_w", F.coalesce("_w", F.lit(0.0)))
     upto = F.sum("_w").over(W.partitionBy("_s", "_part").orderBy("_tokens", "_key", "_lang", "_topic").rowsBetween(W.unboundedPreceding, 0))
     own = F.pmod(F.xxhash64("_s", "_part", F.lit(seed)), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    summed = durable(part.select("_key", "_s", "_tokens", "_w", F.coalesce("_max", F.lit(0)).alias("_max"), (upto + own).alias("_sum")))
+    summed = durable(part.select(F.monotonically_increasing_id().alias("_row"), "_key", "_s", "_tokens", "_w", F.coalesce("_max", F.lit(0)).alias("_max"), (upto + own).alias("_sum")))
 
     def drawn(start: Column) -> Column:
         # 1e-9 keeps sums of whole weights whole
@@ -131,7 +171,16 @@ def mix(documents: DataFrame, targets: DataFrame, key: str, text: str, source: s
     starts = F.broadcast(spark.createDataFrame(best, "_s string, _o double"))  # at most MAX_SOURCES rows
     joined = summed.join(starts, "_s", "left")
     n = drawn(F.coalesce("_o", F.lit(0.0)))
-    uses = joined.select(F.col("_key").alias(key), F.col("_s").alias("source"), F.col("_tokens").alias("tokens"), n.alias("uses"))
+    first = durable(joined.select("_row", "_key", "_s", "_tokens", "_max", n.alias("_uses")))
+    # what the sampling is off by is repaired with single uses of a bounded choice of documents of every size
+    choice = first.where("_max > 0 AND _tokens > 0").withColumn("_turn", F.explode(F.array(F.lit(1), F.lit(-1)))).where("(_turn = 1 AND _uses < _max) OR (_turn = -1 AND _uses > 0)")
+    few = W.partitionBy("_s", "_turn", F.floor(F.log2("_tokens"))).orderBy("_h", "_key", "_row")
+    choice = choice.withColumn("_h", F.xxhash64("_key", F.lit(seed))).withColumn("_r", F.row_number().over(few)).where(F.col("_r") <= REPAIR)
+    off = first.groupBy("_s").agg(F.sum(F.col("_tokens") * F.col("_uses")).alias("_now"))
+    aims = F.broadcast(spark.createDataFrame(pd.DataFrame({"_s": list(goals.index), "_goal": goals.to_numpy(float)}), "_s string, _goal double"))  # at most MAX_SOURCES rows
+    moves = choice.join(off, "_s").join(aims, "_s").groupBy("_s").applyInPandas(repair, "_row long, _turn int")
+    moved = first.join(small(durable(moves)), "_row", "left").withColumn("_uses", F.col("_uses") + F.coalesce("_turn", F.lit(0)))
+    uses = moved.select(F.col("_key").alias(key), F.col("_s").alias("source"), F.col("_tokens").alias("tokens"), F.col("_uses").alias("uses"))
     reached = uses.where("uses > 0").groupBy("source").agg(F.sum(F.col("tokens") * F.col("uses")).alias("reached"))
     out = rows.reset_index().assign(tokens=have.to_numpy().astype("int64"), goal=goals.to_numpy(), total=total)
     known = spark.createDataFrame(out[["_s", "name", "share", "repeats", "tokens", "goal", "total"]], "_s string, name string, target_share double, max_repeats int, tokens long, goal double, total long")

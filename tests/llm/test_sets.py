@@ -303,7 +303,7 @@ def test_mix(spark):
     total = sum(tokens.values())
     assert not s["A"].reachable and not s["nobody"].reachable and s["b "].reachable and s["C"].reachable
     assert s["A"].reached_tokens == tokens["a"] and s["nobody"].reached_tokens == 0
-    assert abs(s["b "].reached_share - 0.1) < 0.01 and abs(s["C"].reached_share - 0.3) < 0.01
+    assert all(abs(r.reached_tokens - r.goal) <= 2 for r in s.values())
     uses = m.uses.collect()
     assert len(uses) == len(rows) and all(0 <= r.uses <= {"a": 1, "b": 3, "c": 4}.get(r.source, 0) for r in uses)
     assert {r.doc_id: r.uses for r in uses} == {r.doc_id: r.uses for r in mix(docs.repartition(7), targets, "doc_id", "text").uses.collect()}
