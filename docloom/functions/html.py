@@ -142,6 +142,7 @@ class _Reader(HTMLParser):
 
 
 SCHEMA = "title string, text string, headings array<struct<level: int, text: string>>, link_density double, redirect_to string"
+#: Fixed value: the text of a page that only points to another one, besides the link.
 MARKER = "See"
 
 
@@ -164,8 +165,8 @@ def read_page(html: str | None) -> tuple:
     linked = sum(len(t) for _, t in r.links)
     lines = r.filled(r.content or r.lines or r.all_lines)
     heads = {t for level, t in r.headings if level == 1}
-    rest = " ".join(x for x in r.lines if isinstance(x, str) and x not in heads)
-    target = r.links[0][0] if len(r.links) == 1 and " ".join(rest.replace(r.links[0][1], "", 1).split()) == MARKER else None
+    words = [w for x in r.lines if isinstance(x, str) and x not in heads for w in x.split()]
+    target = r.links[0][0] if len(r.links) == 1 and words == [*MARKER.split(), *r.links[0][1].split()] else None
     return " ".join(r.title.split()) or None, "\n".join(lines), r.headings, linked / len(whole) if whole else 0.0, target
 
 

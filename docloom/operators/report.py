@@ -3,8 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from docloom.shared import durable
+
+#: Ranges of values that ranks are counted in.
+RANGES = 1024
+
 
 def distribution(rows: DataFrame, value: str, by: list[str] | None = None) -> DataFrame:
     """n, median, p95, max of a column, per group.
@@ -12,13 +18,20 @@ def distribution(rows: DataFrame, value: str, by: list[str] | None = None) -> Da
     p95 is the value of rank floor(0.95 n), at least 1, in ascending order: exact, from counts of distinct values, so
     that no group is collected into one task.
     """
-    from pyspark.sql import Window as W
-
     by = by or []
-    counts = rows.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("c"))
-    w = W.partitionBy(*by) if by else W.partitionBy(F.lit(0))
-    upto = F.sum("c").over(w.orderBy("v"))
-    ranked = counts.withColumn("upto", upto).withColumn("n", F.sum("c").over(w))
+    counts = durable(rows.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("c")))
+    # ranks within ranges of values, and behind them the counts of the ranges below: no task has all values of a group
+    low, high = counts.agg(F.min("v"), F.max("v")).first()
+    width = max((float(high) - float(low)) / RANGES, 1e-9) if low is not None else 1.0
+    counts = counts.withColumn("range", F.least(F.floor((F.col("v") - F.lit(low)) / F.lit(width)), F.lit(RANGES)).cast("int"))
+    below = W.partitionBy(*by, *([] if by else [F.lit(0)])).orderBy("range").rowsBetween(W.unboundedPreceding, -1)
+    whole = W.partitionBy(*by, *([] if by else [F.lit(0)]))
+    totals = counts.groupBy(*by, "range").agg(F.sum("c").alias("t"))  # at most RANGES + 1 rows a group
+    totals = totals.select(*(F.col(x).alias(f"_{x}") for x in by), F.col("range").alias("_range"), F.coalesce(F.sum("t").over(below), F.lit(0)).alias("before"), F.sum("t").over(whole).alias("n"))
+    same = F.col("range") == F.col("_range")
+    for x in by:
+        same = same & F.col(x).eqNullSafe(F.col(f"_{x}"))
+    ranked = counts.join(totals, same).withColumn("upto", F.col("before") + F.sum("c").over(W.partitionBy(*by, "range").orderBy("v")))
 
     def at(rank: Column) -> Column:
         return F.min(F.when(F.col("upto") >= rank, F.col("v")))
@@ -40,8 +53,6 @@ def reconciliation(rows: DataFrame, by: list[str], column: str, parts: list[str]
 
 def first_of(rows: DataFrame, by: str, key: str, n: int = 5) -> DataFrame:
     """The first ``n`` keys of each group, as a report lists them, with the group's size."""
-    from pyspark.sql import Window as W
-
     w = W.partitionBy(by)
     ranked = rows.select(by, key).withColumn("rank", F.row_number().over(w.orderBy(key)))
     few = ranked.where(F.col("rank") <= n)

@@ -153,3 +153,23 @@ def test_recipes_from_boxes(spark):
     assert [tuple(x) for x in rows[0].ingredients] == [("Bar", 2), ("Cap", 1)] and rows[0].slots is None
     assert [tuple(x) for x in rows[1].slots] == [("template", "T"), ("base", "B"), ("addition", "A")] and rows[1].ingredients is None
     assert [tuple(x) for x in rows[2].slots] == [("top", "Plate")]
+
+
+def test_mask_secrets(spark):
+    cases = {
+        "db://u:p@h/x": "db://***:***@h/x", "no secrets": "no secrets", "a://u:p@q@h b://v:w@k c": "a://***:***@h b://***:***@k c", "https://h/a:b@c": "https://h/a:b@c", "https://u@h/": "https://u@h/",
+        "pass hunter2 and hunter22": "pass *** and ***", "x://:p@h": "x://:p@h", "": "", None: None, "a://b": "a://b", "s://u:p/w@h": "s://***:***@h",
+    }
+    df = spark.createDataFrame([(k,) for k in cases], "c string")
+    got = {r.c: r.m for r in df.withColumn("m", ur.mask_secrets("c", ("hunter2", "hunter22", ""))).collect()}
+    assert got == cases
+
+
+def test_distribution_without_groups(spark):
+    from docloom.operators.report import distribution
+
+    df = spark.createDataFrame([(i % 700, None) for i in range(3000)] + [(100_000, None), (None, None)], "v long, w long")
+    values = sorted([i % 700 for i in range(3000)] + [100_000])
+    r = distribution(df, "v").first()
+    assert (r.n, r.median, r.p95, r.max) == (3001, values[1500], values[int(3001 * 0.95) - 1], 100_000)
+    assert distribution(df.where("v IS NULL"), "v").count() <= 1
