@@ -22,17 +22,17 @@ def parent_sections(pages: DataFrame, body: str = "body", title: str = "title",
     Every heading of level 1 or 2 begins a parent, text before the first is one of its own; lines are trimmed and
     blank ones dropped. The section is the title, and the heading of level 2 if there is one.
     """
-    w = W.partitionBy("page").orderBy("line_no")
-    lines = pages.where(F.col(body).isNotNull()).select(F.col(page).alias("page"), F.col(title).alias("title"), F.posexplode(F.split(body, "\n", -1)).alias("line_no", "raw"))
-    lines = lines.withColumn("line", F.trim("raw")).where("line <> ''").withColumn("level", level_of(F.col("line")))
-    starts = F.col("level").between(1, 2)
-    lines = lines.withColumn("block", F.sum(starts.cast("int")).over(w.rowsBetween(W.unboundedPreceding, 0)))
-    texts = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]), "\n")
-    heading = F.max(F.when(F.col("level") == 2, content_of(F.col("line"))))
-    parents = lines.groupBy("page", "block").agg(F.first("title").alias("title"), texts.alias("text"), heading.alias("h2"))
-    part = F.row_number().over(W.partitionBy("page").orderBy("block"))
-    section = F.when(F.coalesce("h2", F.lit("")) != "", F.concat("title", F.lit(SEPARATOR), "h2")).otherwise(F.col("title"))
-    return parents.select("page", part.alias("part"), section.alias("section"), "text", token_count("text").alias("token_count"))
+    lines = F.filter(F.transform(F.split(body, "\n", -1), lambda x: F.trim(x)), lambda x: x != "")
+    base = pages.where(F.col(body).isNotNull()).select(F.col(page).alias("page"), F.col(title).alias("title"), lines.alias("lines")).where("size(lines) > 0")
+    # parents begin at the first line and at headings of level 1 and 2: slices of the page's own array, nothing is shuffled
+    starts = F.filter(F.sequence(F.lit(0), F.size("lines") - 1), lambda i: (i == 0) | level_of(F.get("lines", i)).between(1, 2))
+    base = base.withColumn("starts", starts)
+    end = lambda k: F.coalesce(F.get("starts", k + 1), F.size("lines"))
+    blocks = F.transform("starts", lambda i, k: F.struct((k + 1).alias("part"), F.get("lines", i).alias("head"), F.array_join(F.slice("lines", i + 1, end(k) - i), "\n").alias("text")))
+    each = base.select("page", "title", F.explode(blocks).alias("b")).select("page", "title", "b.*")
+    h2 = F.when(level_of(F.col("head")) == 2, content_of(F.col("head")))
+    section = F.when(F.coalesce(h2, F.lit("")) != "", F.concat("title", F.lit(SEPARATOR), h2)).otherwise(F.col("title"))
+    return each.select("page", "part", section.alias("section"), "text", token_count("text").alias("token_count"))
 
 
 def _atoms(text: str, limit: int, separators: tuple[str, ...]) -> list[str]:

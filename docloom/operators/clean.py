@@ -1,18 +1,20 @@
-"""Cleaning of extracted pages: rules over their lines, as windows and filters.
+"""Cleaning of extracted pages: rules over the array of their lines.
 
-All windows run over one partitioning by page, so the lines are shuffled once whatever the rules.
+All rules stay inside the page's row, so that cleaning needs no shuffle and no sort.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from docloom.config import Config
 from docloom.functions.text import content_of, level_of, one_of
 
-LEVELS = range(1, 7)
+#: Kinds of lines besides the levels of headings: text, blank ones, and labels' lines.
+TEXT, BLANK, LABEL = 0, -1, -2
 
 
 def first_lines(pages: DataFrame, config: Config) -> DataFrame:
@@ -49,73 +51,121 @@ def glued_tail(labels: tuple[str, ...]) -> str:
     return rf"^(|.*?[^ ])((?:Recipes|Recipe) ?(?:{one_of(labels)} ?)*)$"
 
 
-def name_pattern(recipes: str) -> Column:
-    """A pattern for lines that consist of two or more of the page's recipe item names; null without names."""
-    r = F.col(recipes)
-    names = F.array_distinct(
-        F.filter(
-            F.flatten(
-                F.array(
-                    F.transform(r, lambda x: x["result"]),
-                    F.flatten(F.transform(r, lambda x: F.coalesce(F.transform(x["ingredients"], lambda y: y["name"]), F.array().cast("array<string>")))),
-                    F.flatten(F.transform(r, lambda x: F.coalesce(F.transform(x["slots"], lambda y: y["name"]), F.array().cast("array<string>")))),
-                )
-            ),
-            lambda x: x.isNotNull() & (x != ""),
-        )
-    )
-    quoted = F.array_join(F.transform(names, lambda x: F.concat(F.lit("\\Q"), x, F.lit("\\E"))), "|")
-    return F.when(F.size(names) > 0, F.concat(F.lit("^(?:"), quoted, F.lit("){2,}$")))
+def item_names(recipes: str) -> Column:
+    """The names of a page's recipe items: results, ingredients and slots; empty without recipes."""
+    r, none = F.col(recipes), F.array().cast("array<string>")
+    inner = lambda f: F.flatten(F.transform(r, lambda x: F.coalesce(F.transform(x[f], lambda y: y["name"]), none)))
+    names = F.flatten(F.array(F.transform(r, lambda x: x["result"]), inner("ingredients"), inner("slots")))
+    return F.coalesce(F.array_distinct(F.filter(names, lambda x: x.isNotNull() & (x != ""))), none)
 
 
-def page_lines(pages: DataFrame, config: Config) -> DataFrame:
-    """A row for each line left after the title rule: page_id, line_no, line, level, content, is_label, is_suspect.
+def made_of(line: str, names: list[str]) -> bool:
+    """Whether a line consists of two or more of the names, put together without anything between them.
+
+    A fold over the places that names reach: its work is bounded by the line's length times the names.
+    """
+    reached = {0: 0}
+    for at in range(len(line)):
+        if at in reached:
+            for x in names:
+                if line.startswith(x, at):
+                    reached[at + len(x)] = max(reached.get(at + len(x), 0), min(reached[at] + 1, 2))
+    return reached.get(len(line), 0) == 2
+
+
+def outline(kinds: np.ndarray) -> tuple[list[int], list[bool]]:
+    """Of each line the depth of its heading, from 2 on (0 for others), and whether its section is empty.
+
+    A heading is as deep as there are open headings of lower levels above it. Its section is empty if no text comes
+    before the next heading of its level or a lower one; that doesn't depend on what other empty ones are removed.
+    """
+    depth, empty = [0] * len(kinds), [False] * len(kinds)
+    is_open = [False] * 7
+    for i, k in enumerate(kinds):
+        if k > 0:
+            depth[i] = 2 + sum(is_open[1:k])
+            is_open[k:] = [True] + [False] * (6 - k)
+    far = len(kinds)
+    text, heads = far, [far] * 7
+    for i in range(far - 1, -1, -1):
+        k = kinds[i]
+        if k == TEXT:
+            text = i
+        elif k > 0:
+            empty[i] = text == far or min(heads[1 : k + 1]) < text
+            heads[k] = i
+    return depth, empty
+
+
+def _verdicts(kinds: pd.Series, texts: pd.Series, names: pd.Series) -> pd.Series:
+    out = []
+    for k, t, own in zip(kinds, texts, names):
+        k = np.array(k, np.int32)
+        named = np.zeros(len(k), bool)
+        if len(own):
+            own = [*own]
+            named[:] = [x is not None and made_of(x[:-1] if x[-1:] == "\r" else x, own) for x in t]
+        k[named] = LABEL
+        depth, empty = outline(k)
+        out.append([{"named": bool(a), "level": b, "empty": c} for a, b, c in zip(named, depth, empty)])
+    return pd.Series(out)
+
+
+def with_lines(pages: DataFrame, config: Config) -> DataFrame:
+    """``first_lines`` and ``parsed``, an array of its lines: line_no, line, level, content, word, is_label, is_suspect.
 
     A suspect is a line of 1 to 40 characters, no label and no list item, next to a label's line.
     """
-    w = W.partitionBy("page_id").orderBy("line_no")
-    base = first_lines(pages, config)
-    lines = base.select("page_id", "n_source_lines", name_pattern("recipes").alias("names"), F.posexplode("lines").alias("line_no", "line"))
-    lines = lines.withColumn("level", level_of(F.col("line"))).withColumn("content", content_of(F.col("line"))).withColumn("word", F.trim("content"))
-    lines = lines.withColumn("is_label", F.col("word").isin(*config.labels))
-    near = F.coalesce(F.lag("is_label").over(w), F.lit(False)) | F.coalesce(F.lead("is_label").over(w), F.lit(False))
-    suspect = ~F.col("is_label") & (F.length("word").between(1, 40)) & ~F.col("word").startswith("- ") & near
-    return lines.withColumn("is_suspect", suspect)
+    word = lambda x: F.trim(content_of(x))
+    base = first_lines(pages, config).withColumn("_labels", F.transform("lines", lambda x: word(x).isin(*config.labels)))
 
+    def line(x: Column, i: Column) -> Column:
+        here, own = F.get("_labels", i), word(x)
+        near = F.coalesce(F.get("_labels", i - 1), F.lit(False)) | F.coalesce(F.get("_labels", i + 1), F.lit(False))
+        suspect = ~here & F.length(own).between(1, 40) & ~own.startswith("- ") & near
+        return F.struct(i.alias("line_no"), x.alias("line"), level_of(x).alias("level"), content_of(x).alias("content"), own.alias("word"), here.alias("is_label"), suspect.alias("is_suspect"))
 
-def ruled_lines(pages: DataFrame, config: Config) -> DataFrame:
-    """``page_lines`` with ``rule`` (what removes the line, else null) and ``out_line`` (as it is written).
+    return base.withColumn("parsed", F.transform("lines", line)).drop("_labels")
+
+
+def with_rules(pages: DataFrame, config: Config) -> DataFrame:
+    """``with_lines`` and ``ruled``, an array of its lines with ``glued``, ``rule`` (what removes the line, else null),
+    ``out_level`` and ``out_line`` (as it is written).
 
     R4a removes labels' lines, R5 lines of recipe names alone, R7 headings with no text before the next heading of
     their level or above. R4b cuts labels stuck to the end of a page of one line. R6 gives headings the level of
-    their depth, from 2 on: the headings above a line are, of each level, the last one, if none of a lower level came
-    after it. Whether a section is empty doesn't depend on what other empty ones are removed, so one pass does.
+    their depth, from 2 on.
     """
-    before = W.partitionBy("page_id").orderBy("line_no").rowsBetween(W.unboundedPreceding, -1)
-    # what follows is what comes before in the other order: such frames grow by a row, while those to the end are redone
-    after = W.partitionBy("page_id").orderBy(F.desc("line_no")).rowsBetween(W.unboundedPreceding, -1)
-    lines = page_lines(pages, config)
-    cut = F.regexp_extract("line", glued_tail(config.labels), 1)
-    lines = lines.withColumn("glued", (F.col("n_source_lines") == 1) & (F.trim(cut) != "") & ~F.col("is_label"))
-    lines = lines.withColumn("line", F.when(F.col("glued"), cut).otherwise(F.col("line")))
-    named = (F.col("level") == 0) & F.col("names").isNotNull() & F.rlike(F.trim("line"), F.col("names"))
-    lines = lines.withColumn("rule", F.when(F.col("is_label"), "R4a").when(F.coalesce(named, F.lit(False)), "R5"))
-    alive = F.col("rule").isNull()
-    heading = alive & (F.col("level") > 0)
-    at = {k: F.when(heading & (F.col("level") == k), F.col("line_no")) for k in LEVELS}
-    text = F.when(alive & (F.col("level") == 0) & (F.trim("line") != ""), F.col("line_no"))
-    lines = lines.select("*", *(F.max(at[k]).over(before).alias(f"p{k}") for k in LEVELS))
-    lines = lines.select("*", *(F.min(at[k]).over(after).alias(f"q{k}") for k in LEVELS), F.min(text).over(after).alias("next_text"))
-    depth, end = F.lit(0), F.lit(None).cast("int")
-    for k in LEVELS:
-        newer = reduce_and([F.coalesce(F.col(f"p{k}") > F.col(f"p{j}"), F.col(f"p{k}").isNotNull()) for j in range(1, k)])
-        depth = depth + F.when((F.col("level") > k) & F.col(f"p{k}").isNotNull() & newer, 1).otherwise(0)
-        end = F.least(end, F.when(F.col("level") >= k, F.col(f"q{k}")))
-    empty = heading & F.coalesce(F.col("next_text").isNull() | (end < F.col("next_text")), F.lit(False))
-    mark = F.concat(F.repeat(F.lit("#"), F.lit(2) + depth), F.lit(" "), F.col("content"))
-    lines = lines.withColumn("out_level", F.when(heading, F.lit(2) + depth).otherwise(0)).withColumn("out_line", F.when(heading, mark).otherwise(F.col("line")))
-    lines = lines.withColumn("rule", F.when(empty, "R7").otherwise(F.col("rule")))
-    return lines.drop(*(f"{c}{k}" for c in "pq" for k in LEVELS), "next_text", "names")
+    base = with_lines(pages, config)
+
+    def cut(x: Column) -> Column:
+        before = F.regexp_extract(x["line"], glued_tail(config.labels), 1)
+        glued = (F.col("n_source_lines") == 1) & (F.trim(before) != "") & ~x["is_label"]
+        return x.withField("glued", glued).withField("line", F.when(glued, before).otherwise(x["line"]))
+
+    base = base.withColumn("_cut", F.transform("parsed", cut)).withColumn("_names", item_names("recipes"))
+    kind = lambda x: F.when(x["is_label"], LABEL).when(x["level"] > 0, x["level"]).when(F.trim(x["line"]) == "", BLANK).otherwise(TEXT)
+    # only lines that may consist of names travel to Python, and only of pages that have any
+    open_ = F.when(F.size("_names") > 0, F.transform("_cut", lambda x: F.when(~x["is_label"] & (x["level"] == 0), F.trim(x["line"]))))
+    found = F.pandas_udf(_verdicts, "array<struct<named: boolean, level: int, empty: boolean>>").asNondeterministic()  # never evaluated twice
+    base = base.withColumn("_found", found(F.transform("_cut", kind), open_, F.col("_names")))
+
+    def line(x: Column, v: Column) -> Column:
+        rule = F.when(x["is_label"], "R4a").when(v["named"], "R5").when(v["empty"], "R7")
+        mark = F.concat(F.repeat(F.lit("#"), v["level"]), F.lit(" "), x["content"])
+        return x.withField("rule", rule).withField("out_level", v["level"]).withField("out_line", F.when(v["level"] > 0, mark).otherwise(x["line"]))
+
+    return base.withColumn("ruled", F.zip_with("_cut", "_found", line)).drop("_cut", "_names", "_found", "parsed")
+
+
+def page_lines(pages: DataFrame, config: Config) -> DataFrame:
+    """A row for each line left after the title rule: page_id and the fields of ``parsed``."""
+    return with_lines(pages, config).select("page_id", F.explode("parsed").alias("x")).select("page_id", "x.*")
+
+
+def ruled_lines(pages: DataFrame, config: Config) -> DataFrame:
+    """A row for each line left after the title rule: page_id and the fields of ``ruled``."""
+    return with_rules(pages, config).select("page_id", F.explode("ruled").alias("x")).select("page_id", "x.*")
 
 
 def reduce_and(parts: list[Column]) -> Column:
@@ -139,14 +189,14 @@ def recipe_lines(recipes: str) -> Column:
 def clean_pages(pages: DataFrame, config: Config) -> DataFrame:
     """A row for each page: page_id, title, source, body, chars_after, skip_reason, short_body, recipes_added.
 
-    Pages without title or source are skipped, and those whose body is blank; skipped ones have a null body. Lines
-    are put together again per page, ordered by their numbers; recipes follow under a heading of their own.
+    Pages without title or source are skipped, and those whose body is blank; skipped ones have a null body. Recipes
+    follow the lines that are left under a heading of their own.
     """
-    kept = ruled_lines(pages, config).where("rule IS NULL")
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "out_line"))), lambda x: x["out_line"]), "\n")
-    plain = F.sum(F.length(content_of(F.col("out_line"))) + 1) - 1
-    bodies = kept.groupBy("page_id").agg(text.alias("lines_text"), plain.alias("chars"))
-    base = pages.select("page_id", "title", "source", "recipes").join(bodies, "page_id", "left")
+    ruled = with_rules(pages.select("page_id", "title", "source", "markdown", "recipes"), config)
+    base = ruled.withColumn("_kept", F.transform(F.filter("ruled", lambda x: x["rule"].isNull()), lambda x: x["out_line"]))
+    chars = F.aggregate("_kept", F.lit(0), lambda n, x: n + F.length(content_of(x)) + 1) - 1
+    some = F.size("_kept") > 0
+    base = base.select("page_id", "title", "source", "recipes", F.when(some, F.array_join("_kept", "\n")).alias("lines_text"), F.when(some, chars).alias("chars"))
     n = F.coalesce(F.size("recipes"), F.lit(0))
     n = F.when(n > 0, n).otherwise(0)
     recipe = F.concat_ws("\n", F.lit("## Recipes"), recipe_lines("recipes"))

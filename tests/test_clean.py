@@ -61,6 +61,21 @@ def test_lines_of_recipe_names(spark):
     assert left == ["a", "Iron Ingot, Gold", "Gold"] and gone == {"Iron IngotGold": "R5"}
 
 
+def test_names_that_are_made_of_each_other():
+    assert clean.made_of("aaab" * 200, ["a", "aa", "aaa", "b"]) and not clean.made_of("a" * 2000 + "c", ["a", "aa", "aaa"])
+    assert clean.made_of("x\\Ey", ["x\\E", "y"]) and not clean.made_of("ab", ["ab"]) and not clean.made_of("", ["a"])
+
+
+def test_cleaning_and_chunking_shuffle_nothing(spark, data):
+    from docloom.operators import chunk
+    from docloom.shared import table
+
+    cleaned = clean.clean_pages(table(spark, data, "extracted"), CONFIG)
+    for df in (cleaned, chunk.children(chunk.parent_sections(cleaned))):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Sort" not in plan
+
+
 def test_heading_levels(spark):
     text = "x\n## A\na\n# B\nb\n## C\nc\n### D\nd"
     assert [x for x in lines(spark, "T", text)[0] if x[0] == "#"] == ["## A", "## B", "### C", "#### D"]
