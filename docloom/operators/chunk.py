@@ -23,13 +23,14 @@ def parent_sections(pages: DataFrame, body: str = "body", title: str = "title",
     blank ones dropped. The section is the title, and the heading of level 2 if there is one.
     """
     lines = F.filter(F.transform(F.split(body, "\n", -1), lambda x: F.trim(x)), lambda x: x != "")
-    base = pages.where(F.col(body).isNotNull()).select(F.col(page).alias("page"), F.col(title).alias("title"), lines.alias("lines")).where("size(lines) > 0")
+    # no filter on what is computed here: pushed down, it would have the body computed again
+    base = pages.select(F.col(page).alias("page"), F.col(title).alias("title"), lines.alias("lines"))
     # parents begin at the first line and at headings of level 1 and 2: slices of the page's own array, nothing is shuffled
     starts = F.filter(F.sequence(F.lit(0), F.size("lines") - 1), lambda i: (i == 0) | level_of(F.get("lines", i)).between(1, 2))
-    base = base.withColumn("starts", starts)
+    base = base.withColumn("starts", F.when(F.size("lines") > 0, starts))
     end = lambda k: F.coalesce(F.get("starts", k + 1), F.size("lines"))
     blocks = F.transform("starts", lambda i, k: F.struct((k + 1).alias("part"), F.get("lines", i).alias("head"), F.array_join(F.slice("lines", i + 1, end(k) - i), "\n").alias("text")))
-    each = base.select("page", "title", F.explode(blocks).alias("b")).select("page", "title", "b.*")
+    each = base.select("page", "title", F.explode_outer(blocks).alias("b")).where("b IS NOT NULL").select("page", "title", "b.*")
     h2 = F.when(level_of(F.col("head")) == 2, content_of(F.col("head")))
     section = F.when(F.coalesce(h2, F.lit("")) != "", F.concat("title", F.lit(SEPARATOR), h2)).otherwise(F.col("title"))
     return each.select("page", "part", section.alias("section"), "text", token_count("text").alias("token_count"))
