@@ -75,11 +75,16 @@ class Codebooks:
     def scores(self, queries: np.ndarray, codes: np.ndarray, norms: np.ndarray) -> np.ndarray:
         """Approximate cosines of unit queries with coded vectors, from one table of products per query."""
         m, k, _ = self.words.shape
-        table = queries @ self.flat.T
-        s = table[:, codes[:, 0]]
-        for i in range(1, m):
-            s += table[:, i * k + codes[:, i].astype(np.int64)]
-        return s / np.maximum(norms, 1e-6)
+        table = np.ascontiguousarray((queries @ self.flat.T).T)  # a row of products for each word
+        at = codes.astype(np.int64) + np.arange(m) * k
+        out = np.empty((len(queries), len(codes)), np.float32)
+        step = max(64, (1 << 17) // max(1, len(queries)))  # sums that stay in the cache
+        for i in range(0, len(codes), step):
+            s = table[at[i : i + step, 0]]
+            for j in range(1, m):
+                s += table[at[i : i + step, j]]
+            out[:, i : i + step] = (s / np.maximum(norms[i : i + step, None], 1e-6)).T
+        return out
 
 
 def fit(sample: np.ndarray, books: int = BOOKS, words: int = WORDS, rounds: int = 6, seed: int = 7) -> Codebooks:
