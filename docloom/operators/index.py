@@ -57,25 +57,57 @@ def model_pairs(children: DataFrame) -> DataFrame:
     return children.groupBy("model_name", "model_revision").agg(F.count(F.lit(1)).alias("n"))
 
 
-def violations(parents: DataFrame, children: DataFrame, version: str, config: Config) -> DataFrame:
-    """(rule, key) of everything that forbids writing this version; empty for good inputs."""
+def row_differences(left: DataFrame, right: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """(key, differing): rows that one side lacks or has more than once, and the columns in which paired rows differ.
+
+    Nulls are equal; rows with null keys pair with nothing. ``differing`` is ``missing`` or ``unforeseen`` where the
+    right side lacks the row or the left one does, ``repeated`` where a side has it twice.
+    """
+    one = lambda x, name: x.groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*columns)).alias(name))
+    a, b = one(left, "a").alias("l"), one(right, "b").alias("r")
+    both = a.join(b, F.col("l.key") == F.col("r.key"), "full_outer")
+    apart = F.array_compact(F.array(*(F.when(~F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")), F.lit(c)) for c in columns)))
+    found = F.when(F.col("r.n").isNull(), F.array(F.lit("missing"))).when(F.col("l.n").isNull(), F.array(F.lit("unforeseen"))).when((F.col("l.n") > 1) | (F.col("r.n") > 1), F.array(F.lit("repeated"))).otherwise(apart)
+    return both.select(F.coalesce("l.key", "r.key").alias("key"), found.alias("differing")).where(F.size("differing") > 0)
+
+
+def input_faults(vectors: DataFrame) -> DataFrame:
+    """Vector rows whose ``embedding_input`` isn't section, a blank line and text."""
+    return vectors.where(~F.col("embedding_input").eqNullSafe(F.concat("section", F.lit("\n\n"), "text")))
+
+
+def violations(parents: DataFrame, children: DataFrame, version: str, config: Config, chunks: DataFrame | None = None) -> DataFrame:
+    """(rule, key) of everything that forbids writing this version; empty for good inputs.
+
+    ``chunks`` are the children as they were before embedding: each must have its vector row with the same fields, and
+    vector rows that carry an ``embedding_input`` must carry the right one.
+    """
     strings = [c for c in PARENT_COLUMNS if c != "token_count"]
 
     def found(rule: str, rows: DataFrame, key: str) -> DataFrame:
         return rows.select(F.lit(rule).alias("rule"), F.col(key).cast("string").alias("key"))
 
+    def faults(rows: DataFrame, key: str, texts: list[str], more: dict[str, Column]) -> DataFrame:
+        # the rules of single rows in one pass over the table
+        bad = F.exists(F.array(*(F.col(c) for c in texts)), lambda x: x.isNull() | (F.trim(x) == "") | F.contains(x, F.lit("\0")))
+        rules = {"version": ~F.col("version").eqNullSafe(version), "shape": bad | F.col("token_count").isNull() | (F.col("token_count") <= 0)} | more
+        hit = F.array_compact(F.array(*(F.when(c, F.lit(r)) for r, c in rules.items())))
+        return rows.select(F.explode(hit).alias("rule"), F.col(key).cast("string").alias("key"))
+
     parts = [
-        found("version", parents.where(~F.col("version").eqNullSafe(version)), "parent_id"),
-        found("version", children.where(~F.col("version").eqNullSafe(version)), "chunk_id"),
-        found("shape", shape_faults(parents, "parent_id", strings), "key"),
-        found("shape", shape_faults(children, "chunk_id", ["chunk_id", *strings]), "key"),
+        faults(parents, "parent_id", strings, {}),
+        faults(children, "chunk_id", ["chunk_id", *strings], {"vector": fault("embedding", config.dim, config.norm_tolerance).isNotNull()}),
         found("duplicate", duplicate_keys(parents, "parent_id"), "key"),
         found("duplicate", duplicate_keys(children, "chunk_id"), "key"),
         found("orphan", orphans(parents, children), "chunk_id"),
         found("childless", childless(parents, children), "parent_id"),
         found("misplaced", misplaced(parents, children), "chunk_id"),
-        found("vector", vector_faults(children, config), "chunk_id"),
     ]
+    if chunks is not None:
+        fields = [c for c in CHILD_COLUMNS if c in chunks.columns and c not in ("chunk_id", "embedding", "model_name", "model_revision")]
+        parts.append(found("pairing", row_differences(chunks, children, "chunk_id", fields), "key"))
+    if "embedding_input" in children.columns:
+        parts.append(found("input", input_faults(children), "chunk_id"))
     pairs = model_pairs(children)
     mixed = pairs.agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     parts.append(mixed.select(F.lit("models").alias("rule"), F.col("n").cast("string").alias("key")))

@@ -6,7 +6,7 @@ import json
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -72,11 +72,13 @@ class IndexStore:
     def children(self, *versions: str) -> DataFrame:
         return self._read("children", CHILDREN, [*versions] or None)
 
-    def write(self, parents: DataFrame, children: DataFrame, version: str, mode: str, before_publish: Callable[[], None] | None = None) -> DataFrame:
+    def write(self, parents: DataFrame, children: DataFrame, version: str, mode: str, before_publish: Callable[[], None] | None = None, chunks: DataFrame | None = None) -> DataFrame:
         """Make these the rows of ``version``; returns (table, change, n).
 
         ``mode`` is update, which needs the model of the whole table, or rebuild, which needs that of other versions.
-        Inputs are checked before anything is staged. An id that another version holds is refused.
+        Inputs are checked before anything is staged; ``chunks``, the children before embedding, are held against their
+        vector rows. An id that another version holds is refused. A pointer that another writer has replaced in the
+        meantime is an error, and nothing is published.
         """
         if mode not in ("update", "rebuild"):
             raise InputError("mode must be update or rebuild")
@@ -85,7 +87,7 @@ class IndexStore:
             if faults := schema_faults(df, schema):
                 raise SchemaMismatch("; ".join(faults))
         parents, children = parents.select(*index.PARENT_COLUMNS), children.select(*index.CHILD_COLUMNS)
-        if found := index.violations(parents, children, version, self.config).limit(20).collect():
+        if found := index.violations(parents, children, version, self.config, chunks).limit(20).collect():
             raise InputError("; ".join(f"{r.rule}: {r.key}" for r in found))
         if parents.isEmpty():
             raise InputError(f"no rows for {version}")
@@ -93,24 +95,28 @@ class IndexStore:
         others = [v for v in pointer["parents"] if v != version]
         index.guard(self.children(), children, version, mode)
         if others:
-            taken = parents.select("parent_id").join(self.parents(*others).select("parent_id"), "parent_id", "left_semi").limit(3).collect()
-            if taken:
-                raise InputError(f"{taken[0].parent_id} belongs to another version")
+            for mine, theirs, key in ((parents, self.parents(*others), "parent_id"), (children, self.children(*others), "chunk_id")):
+                taken = mine.select(key).join(theirs.select(key), key, "left_semi").limit(3).collect()
+                if taken:
+                    raise InputError(f"{taken[0][0]} belongs to another version")
         stage = uuid.uuid4().hex
         new = {"parents": f"parents/{stage}", "children": f"children/{stage}"}
         counts = []
         old = {"parents": self.parents(version) if version in pointer["parents"] else self.spark.createDataFrame([], PARENTS), "children": self.children(version) if version in pointer["children"] else self.spark.createDataFrame([], CHILDREN)}
         for name, rows, key, columns in (("parents", parents, "parent_id", index.PARENT_COLUMNS[1:]), ("children", children, "chunk_id", index.CHILD_COLUMNS[1:])):
-            rows.write.parquet(f"{self.root}/{new[name]}")
+            written = Observation()
+            rows.observe(written, F.count(F.lit(1)).alias("n")).write.parquet(f"{self.root}/{new[name]}")
             staged = self.spark.read.schema(rows.schema).parquet(f"{self.root}/{new[name]}")
             changes = index.classify(old[name], staged, [key], columns).groupBy("change").count().collect()
             by = {r["change"]: r["count"] for r in changes}
             if mode == "rebuild":
                 by = {"inserted": staged.count(), "deleted_before": old[name].count()}
-            if staged.count() != rows.count():
+            if staged.count() != written.get["n"]:
                 raise WriteError(f"{name}: not all rows were staged")
             counts += [(name, change, int(n)) for change, n in sorted(by.items())]
         if before_publish:
             before_publish()
+        if self.pointer() != pointer:
+            raise WriteError("another writer has published in the meantime")
         self._publish({t: {**pointer[t], version: new[t]} for t in new})
         return self.spark.createDataFrame(counts, "table string, change string, n long")

@@ -656,6 +656,20 @@ def child_provenance(s: SparkSession, d: str) -> DataFrame:
     return c.join(p, F.col("c.parent_id") == F.col("p.parent_id")).select("chunk_id", same.alias("same"), (F.col("c.section") == F.col("p.section")).alias("same_section"))
 
 
+_FIELDS = ["title", "source_url", "version", "mod", "chapter", "page", "section"]
+
+
+@query(
+    "WITH d AS (SELECT c.chunk_id AS key, list_filter([" + ", ".join(f"CASE WHEN c.{x} IS DISTINCT FROM p.{x} THEN '{x}' END" for x in _FIELDS) + """], lambda x: x IS NOT NULL) AS f FROM children c JOIN parents p USING (parent_id))
+    SELECT key, array_to_string(f, ',') AS differing FROM d WHERE len(f) > 0 UNION ALL SELECT chunk_id, 'missing' FROM children c WHERE NOT EXISTS (SELECT 1 FROM parents p WHERE p.parent_id = c.parent_id)"""
+)
+def child_differences(s: SparkSession, d: str) -> DataFrame:
+    """JN4, IDX3: every child row against the row that its parent would give it, field by field."""
+    c = table(s, d, "children").select("chunk_id", "parent_id", *_FIELDS)
+    made = c.select("chunk_id", "parent_id").join(table(s, d, "parents").select("parent_id", *_FIELDS), "parent_id")
+    return index.row_differences(c, made, "chunk_id", _FIELDS).select("key", F.array_join("differing", ",").alias("differing"))
+
+
 @query("SELECT p.parent_id, count(DISTINCT e.page_id) AS pages FROM parents p LEFT JOIN extracted e ON e.source = p.source_url GROUP BY p.parent_id")
 def parent_pages(s: SparkSession, d: str) -> DataFrame:
     """JN12: the extracted pages behind each parent."""

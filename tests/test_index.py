@@ -61,6 +61,27 @@ def test_faults_are_found_and_nothing_is_written(spark, tmp_path, case):
     assert store.pointer() == {"parents": {}, "children": {}}
 
 
+def test_vector_rows_are_held_against_chunks(spark):
+    p, c = inputs(spark)
+    chunks = c.drop("embedding", "model_name", "model_revision")
+    assert index.violations(p, c, "1", CONFIG, chunks).count() == 0
+    other = chunks.withColumn("title", F.when(F.col("page") == "page1", None).otherwise(F.col("title"))).where("page <> 'page2'")
+    assert {(r.rule, r.key[-12:-4]) for r in index.violations(p, c, "1", CONFIG, other).collect()} == {("pairing", "age1:p01"), ("pairing", "age2:p01")}
+    found = {r.key[-12:-4]: r.differing for r in index.row_differences(other, c.unionByName(c.where("page = 'page3'")), "chunk_id", ["title", "text"]).collect()}
+    assert found == {"age1:p01": ["title"], "age2:p01": ["unforeseen"], "age3:p01": ["repeated"]}
+    wrong = c.withColumn("embedding_input", F.concat("section", F.lit("\n\n"), F.when(F.col("page") == "page4", "x").otherwise(F.col("text"))))
+    assert [r.rule for r in index.violations(p, wrong, "1", CONFIG).collect()] == ["input"]
+
+
+def test_of_two_writers_one_is_refused(spark, tmp_path):
+    from docloom.errors import WriteError
+
+    one, two = IndexStore(spark, str(tmp_path / "s"), CONFIG), IndexStore(spark, str(tmp_path / "s"), CONFIG)
+    with pytest.raises(WriteError):
+        one.write(*inputs(spark), "1", "update", before_publish=lambda: two.write(*inputs(spark, version="2"), "2", "update"))
+    assert one.parents().count() == 6 and set(one.pointer()["parents"]) == {"2"}
+
+
 def test_good_inputs_have_no_faults(spark):
     assert index.violations(*inputs(spark), "1", CONFIG).count() == 0
 
