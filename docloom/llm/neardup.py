@@ -24,8 +24,8 @@ MISS = 0.01
 LEAST_THRESHOLD = 0.35
 #: A region of up to so many texts is compared one value higher up, where more neighbours are found.
 SPARSE = 32
-#: A region of one order with more texts is compared in blocks.
-REGION = 128
+#: A region of one order with more texts, too many for one block, is compared in pairs of blocks.
+REGION = 512
 #: Texts and shingles of a block of a crowded region, about.
 BLOCK, BLOCK_SHINGLES = 512, 400_000
 #: Copies of one text up to which all their pairs are listed; of more, only those with the first.
