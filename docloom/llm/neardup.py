@@ -23,7 +23,7 @@ MISS = 0.01
 #: Thresholds below this would need orders of one value, where most texts are neighbours of most others.
 LEAST_THRESHOLD = 0.35
 #: A region of up to so many texts is compared one value higher up, where more neighbours are found.
-SPARSE = 32
+SPARSE = 4
 #: A region of one order with more texts, too many for one block, is compared in pairs of blocks.
 REGION = 512
 #: Texts and shingles of a block of a crowded region, about.
@@ -185,9 +185,10 @@ def placed(nodes: DataFrame, depth: int, orders: int) -> tuple[DataFrame, DataFr
     # the signature doesn't travel: regions are hashes
     flat = rows.select("o", "node", "sketch", region(F.col("o"), begin, depth).alias("r"), region(F.col("o"), begin, depth - 1).alias("up"))
     if depth > 1:
-        dense = durable(flat.groupBy("up").count().where(F.col("count") > SPARSE).select("up", F.lit(True).alias("dense")))
-        flat = flat.join(small(dense), "up", "left").withColumn("r", F.when(F.col("dense"), F.col("r")).otherwise(F.col("up")))
-        counted = flat.where("dense")
+        dense = durable(flat.groupBy("up").count().where(F.col("count") > SPARSE).select("up", F.col("count").alias("size")))
+        flat = flat.join(small(dense), "up", "left").withColumn("r", F.when(F.col("size").isNotNull(), F.col("r")).otherwise(F.col("up")))
+        # what has few texts one value higher up isn't crowded below
+        counted = flat.where(F.col("size") > REGION)
     else:
         counted = flat
     crowded = durable(counted.groupBy("r").count().where(F.col("count") > REGION))
