@@ -77,10 +77,10 @@ _VARIABLE = re.compile(r"\S*[/\\]\S+|\([^()]{1,24}\)|\b\S*\d\S*|\b(?:ticket|inci
 _WORD = re.compile(r"[^\W\d_]+")
 
 
-@lru_cache(maxsize=1)
-def automaton() -> ahocorasick.Automaton:
+@lru_cache(maxsize=2)
+def automaton(support: bool = True) -> ahocorasick.Automaton:
     a = ahocorasick.Automaton()
-    for kind, groups in [*PHRASES.items(), ("", {"": SUPPORT})]:
+    for kind, groups in [*PHRASES.items(), *[("", {"": SUPPORT})] * support]:
         for phrase in (x.strip() for lines in groups.values() for x in re.split(r"[|\n]", lines)):
             if phrase and phrase not in a:
                 a.add_word(phrase, (len(phrase), kind))
@@ -128,6 +128,8 @@ def weigh(line: str, known: tuple[str, ...] = ()) -> tuple[int, int, str]:
     if len(words) >= 3 and sum(w in FILLER_WORDS for w in words) >= 0.7 * len(words):
         return len(line), len(line), "filler"
     covered, by, merged = _covered(line)
+    if not covered:
+        return 0, len(line) - line.count(" "), ""
     rest, at = [], 0
     for s, e in merged:
         rest.append(line[at:s])
@@ -188,8 +190,9 @@ def find_residue(pages: DataFrame, text: str = "text", known: tuple[str, ...] =
             if not numbers and total and len(lines) > 1:
                 # a message may be broken over lines: the text is looked through as a whole
                 whole = "".join(x if not x or x[-1] > "\u2e80" else x + " " for x in lines).strip()
-                covered, all_, _ = weigh(whole, ks)
-                hit, total = (covered, all_) if covered > hit else (hit, total)
+                if next(automaton(False).iter(whole), None) is not None:
+                    covered, all_, _ = weigh(whole, ks)
+                    hit, total = (covered, all_) if covered > hit else (hit, total)
             share = hit / total if total else 0.0
             found.append((numbers, kinds, share, bool(numbers) or share >= limit))
         return pd.DataFrame(found, columns=added)
