@@ -288,7 +288,7 @@ def scan(asked: DataFrame, known: DataFrame, books: Codebooks, dim: int, rerank:
     return best.join(known, "key").join(asked.withColumnRenamed("v", "x"), "q").select("q", "key", cosine(F.col("x"), F.col("v")).alias("s"))
 
 
-def most_similar(vectors: DataFrame, key: str, column: str, k: int = 5, min_similarity: float = -1.0, dim: int = 64, slack: float = 0.25, rerank: int = 200) -> DataFrame:
+def most_similar(vectors: DataFrame, key: str, column: str, k: int = 5, min_similarity: float = -1.0, dim: int = 64, slack: float = 0.25, rerank: int = 60) -> DataFrame:
     """``key``, ``neighbour``, ``similarity``, ``rank``: the ``k`` most similar other rows of every row.
 
     Codebooks are fitted on ``SAMPLE`` vectors; every vector is encoded by beam search and compared, by lookup tables
