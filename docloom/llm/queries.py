@@ -148,6 +148,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 _TOKENS = r"len(regexp_extract_all(text, '[A-Za-z0-9_]+|[^A-Za-z0-9_ \t\r\n]'))"
 
+#: Pairs of texts by brute force: all that share a word triple are counted.
+_SIMILAR = """
+    WITH w AS (SELECT {key} AS id, regexp_extract_all(lower(text), '[a-z0-9]+') AS w FROM {name}),
+    s AS (SELECT id, list_distinct(list_transform(generate_series(1, len(w) - 2), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS t FROM w WHERE len(w) >= 20),
+    e AS (SELECT id, len(t) AS n, unnest(t) AS g FROM s),
+    p AS (SELECT a.id AS id_a, b.id AS id_b, any_value(a.n) + any_value(b.n) AS n, count(*) AS c FROM e a JOIN e b ON a.g = b.g AND a.id < b.id GROUP BY a.id, b.id)
+    SELECT '{kind}' AS item_kind, id_a, id_b FROM p WHERE c >= 0.6 * (n - c)"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -159,6 +167,13 @@ def oracle_sql() -> dict[str, str]:
             f AS (SELECT host, letters FROM k GROUP BY host, letters HAVING count(DISTINCT page_id) >= 10)
             SELECT page_id, CAST(line_no AS INTEGER) AS line_no FROM k JOIN f USING (host, letters)""",
         "p3_found": f"SELECT 'parent' AS item_kind, parent_id AS item_id FROM parents WHERE {_TOKENS} > 2048 UNION ALL SELECT 'child', chunk_id FROM children WHERE {_TOKENS} > 256",
+        "p4_found": """
+            WITH v AS (SELECT chunk_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM children WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x))) = 0),
+            u AS (SELECT chunk_id, list_transform(e, lambda x: x / sqrt(list_dot_product(e, e)))::DOUBLE[64] AS e FROM v),
+            s AS (SELECT a.chunk_id AS a, b.chunk_id AS b, array_inner_product(a.e, b.e) AS c FROM u a JOIN u b ON a.chunk_id <> b.chunk_id),
+            r AS (SELECT *, row_number() OVER (PARTITION BY a ORDER BY c DESC, b) AS k FROM s)
+            SELECT DISTINCT least(a, b) AS chunk_id_a, greatest(a, b) AS chunk_id_b FROM r WHERE k <= 5 AND c >= 0.9""",
+        "p5_found": " UNION ALL ".join(f"SELECT * FROM ({_SIMILAR.format(kind=k, name=n, key=i)})" for k, (n, i) in P5_KINDS.items()),
         "p7_found": f"SELECT doc_id FROM documents WHERE {_TOKENS} > 2048",
         "p8_found": f"""
             WITH d AS (SELECT lower(trim(source)) AS s, {_TOKENS} AS n FROM documents WHERE source IS NOT NULL),
