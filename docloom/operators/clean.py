@@ -22,7 +22,8 @@ def first_lines(pages: DataFrame, config: Config) -> DataFrame:
 
     A: the first line is the title and goes. B: it begins with the title and an ASCII capital follows: the title is
     cut off; where another character follows nothing is cut and ``r1_guard`` is set. C: the second line is the title
-    and goes, unless the first is the site's name. Null markdown is one blank line.
+    and goes, unless the first is the site's name; ``site_name_first`` says that it is, where the settings have one.
+    Null markdown is one blank line.
     """
     lines = F.split(F.coalesce("markdown", F.lit("")), "\n", -1)
     base = pages.withColumn("_l", lines).withColumn("_0", content_of(F.element_at("_l", 1))).withColumn("_1", content_of(F.get("_l", F.lit(1))))
@@ -36,7 +37,8 @@ def first_lines(pages: DataFrame, config: Config) -> DataFrame:
         .when((F.col("_1") == F.col("title")) & (F.trim("_0") != config.site_name), "C")
     )
     tail = F.slice("_l", F.lit(2), F.greatest(F.size("_l") - 1, F.lit(0)))
-    out = base.withColumn("r1_type", kind).withColumn("r1_guard", F.coalesce(F.col("title") != "", F.lit(False)) & longer & ~rest.rlike("^[A-Z]"))
+    named = F.trim("_0") == config.site_name if config.site_name else F.lit(False)
+    out = base.withColumn("site_name_first", named).withColumn("r1_type", kind).withColumn("r1_guard", F.coalesce(F.col("title") != "", F.lit(False)) & longer & ~rest.rlike("^[A-Z]"))
     lines = (
         F.when(F.col("r1_type") == "A", tail)
         .when(F.col("r1_type") == "B", F.concat(F.array(rest), tail))
@@ -186,17 +188,17 @@ def recipe_lines(recipes: str) -> Column:
     return F.transform(recipes, lambda x: F.concat(F.lit("- "), x["label"], F.lit(" ["), x["station"], F.lit("]: "), inputs(x), F.lit(" → "), x["result"]))
 
 
-def clean_pages(pages: DataFrame, config: Config) -> DataFrame:
+def clean_pages(pages: DataFrame, config: Config, keep: tuple[str, ...] = ()) -> DataFrame:
     """A row for each page: page_id, title, source, body, chars_after, skip_reason, short_body, recipes_added.
 
     Pages without title or source are skipped, and those whose body is blank; skipped ones have a null body. Recipes
-    follow the lines that are left under a heading of their own.
+    follow the lines that are left under a heading of their own. ``keep`` names columns of ``with_rules`` to carry on.
     """
     ruled = with_rules(pages.select("page_id", "title", "source", "markdown", "recipes"), config)
     base = ruled.withColumn("_kept", F.transform(F.filter("ruled", lambda x: x["rule"].isNull()), lambda x: x["out_line"]))
     chars = F.aggregate("_kept", F.lit(0), lambda n, x: n + F.length(content_of(x)) + 1) - 1
     some = F.size("_kept") > 0
-    base = base.select("page_id", "title", "source", "recipes", F.when(some, F.array_join("_kept", "\n")).alias("lines_text"), F.when(some, chars).alias("chars"))
+    base = base.select("page_id", "title", "source", "recipes", *keep, F.when(some, F.array_join("_kept", "\n")).alias("lines_text"), F.when(some, chars).alias("chars"))
     n = F.coalesce(F.size("recipes"), F.lit(0))
     n = F.when(n > 0, n).otherwise(0)
     recipe = F.concat_ws("\n", F.lit("## Recipes"), recipe_lines("recipes"))
@@ -207,5 +209,22 @@ def clean_pages(pages: DataFrame, config: Config) -> DataFrame:
     out = out.withColumn("skip_reason", reason)
     ok = F.col("skip_reason").isNull()
     return out.select(
-        "page_id", "title", "source", F.when(ok, F.col("body")).alias("body"), "chars_after", "skip_reason", F.when(ok, F.col("chars_after") < config.short_body).alias("short_body"), F.when(ok, F.col("recipes_added")).otherwise(0).alias("recipes_added")
+        "page_id", "title", "source", F.when(ok, F.col("body")).alias("body"), "chars_after", "skip_reason", F.when(ok, F.col("chars_after") < config.short_body).alias("short_body"), F.when(ok, F.col("recipes_added")).otherwise(0).alias("recipes_added"), *keep
     )
+
+
+def cleaning_figures(pages: DataFrame, config: Config) -> DataFrame:
+    """(section, item, n): the counts of a cleaning report; items that nothing belongs to have no row.
+
+    Each page lists what it adds, so the report takes one pass and a sum.
+    """
+    cleaned = clean_pages(pages, config, keep=("r1_type", "ruled", "site_name_first"))
+    lines = lambda holds: F.size(F.filter("ruled", holds))
+    one = lambda holds: F.coalesce(holds, F.lit(False)).cast("int")
+    entry = lambda section, item, n: F.struct(F.lit(section).alias("section"), item.alias("item"), n.cast("long").alias("n"))
+    parts = [entry("pages", F.coalesce("skip_reason", F.lit("output")), F.lit(1)), entry("title", F.coalesce("r1_type", F.lit("none")), F.lit(1))]
+    by_rule = lambda rule: lines(lambda x: F.coalesce(x["rule"] == rule, F.lit(False)))
+    parts += [entry("lines", F.lit(r), by_rule(r)) for r in ("R4a", "R5", "R7")]
+    parts += [entry("lines", F.lit("R4b"), lines(lambda x: x["glued"])), entry("lines", F.lit("suspect"), lines(lambda x: x["is_suspect"]))]
+    parts += [entry("pages with", F.lit("recipes"), one(F.col("recipes_added") > 0)), entry("pages with", F.lit("short body"), one(F.col("short_body"))), entry("pages with", F.lit("site name first"), one(F.col("site_name_first")))]
+    return cleaned.select(F.explode(F.array(*parts)).alias("x")).select("x.*").groupBy("section", "item").agg(F.sum("n").alias("n")).where("n > 0")

@@ -68,3 +68,11 @@ def markdown(rows: DataFrame, title: str, limit: int = 40) -> str:
     if len(found) > limit:
         lines += ["", f"and {rows.count() - limit} more"]
     return "\n".join(lines) + "\n"
+
+
+def assembled(title: str, sections: dict[str, DataFrame], limit: int = 40) -> str:
+    """A stage's report: its title and a section for each table, in their order; a table without rows says so."""
+    parts = [f"# {title}\n"]
+    for name, rows in sections.items():
+        parts.append(markdown(rows, name, limit) if not rows.isEmpty() else f"## {name}\n\nnone\n")
+    return "\n".join(parts)

@@ -14,6 +14,7 @@ from docloom.functions import vectors as ve
 from docloom.functions.tokens import TOKEN, line_array, token_count
 from docloom.operators import chunk, clean, fetch, index, knn, report
 from docloom.shared import table
+from docloom.sources import writers
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -102,6 +103,17 @@ def path_collisions(s: SparkSession, d: str) -> DataFrame:
     return fetch.path_collisions(table(s, d, "fetch_manifest"))
 
 
+@query(
+    f"""WITH e AS (SELECT version, mod, lower(regexp_replace(trim(regexp_replace(lower(mod), '[^a-z0-9]+', '-', 'g'), '-'), '^$', '')) AS slug, url, error, local_path FROM fetch_manifest)
+    SELECT version, slug AS mod_slug, count(*) AS entries, count(DISTINCT url) AS urls, count_if(local_path IS NOT NULL AND local_path <> '') AS files, count_if(error IS NOT NULL) AS errors FROM e GROUP BY version, slug"""
+)
+def fetch_log(s: SparkSession, d: str) -> DataFrame:
+    """SNK2: the figures of a fetch log, by version and mod."""
+    e = table(s, d, "fetch_manifest").select("version", ur.slugify("mod").alias("mod_slug"), "url", "error", "local_path")
+    file = F.count_if(F.coalesce(F.col("local_path") != "", F.lit(False)))
+    return e.groupBy("version", "mod_slug").agg(F.count(F.lit(1)).alias("entries"), F.countDistinct("url").alias("urls"), file.alias("files"), F.count_if(F.col("error").isNotNull()).alias("errors"))
+
+
 # Extraction -------------------------------------------------------------------------------------------------------
 
 _DISPOSED = """x AS (SELECT DISTINCT version, rtrim(u, '/') AS bare FROM (SELECT version, unnest(exclude) AS u FROM source_sites)),
@@ -191,6 +203,51 @@ def heading_alignment(s: SparkSession, d: str) -> DataFrame:
     return pages.select("page_id", F.size("t").cast("long").alias("lines"), marked.alias("marked"), differing.alias("differing"))
 
 
+_SCALAR = """CASE WHEN regexp_matches(coalesce({0}, ''), '[:#"'',{{}}\\[\\]&*!|>%@`]') OR coalesce({0}, '') <> trim(coalesce({0}, ''), ' ') OR coalesce({0}, '') = ''
+    THEN '"' || replace(replace(coalesce({0}, ''), '\\', '\\\\'), '"', '\\"') || '"' ELSE {0} END"""
+
+
+def _output(s: SparkSession, d: str, *columns: str) -> DataFrame:
+    pages = table(s, d, "extracted").select("page_id", "version", "source", "text", *columns)
+    return fetch.disposition(pages, table(s, d, "source_sites").select("version", "exclude")).where("disposition = 'output'")
+
+
+@query(
+    f"""WITH {_DISPOSED} SELECT e.page_id, '---' || chr(10) || 'title: ' || {_SCALAR.format("e.title")} || chr(10) || 'source: ' || {_SCALAR.format("e.source")} || chr(10) || 'hostname: ' || {_SCALAR.format("e.hostname")} || chr(10)
+    || 'http_status: ' || coalesce(CAST(e.http_status AS VARCHAR), '""') || chr(10) || 'text_length: ' || length(e.text) || chr(10) || '---' || chr(10) || chr(10) || '# ' || coalesce(e.title, '') || chr(10) || chr(10) || e.text || chr(10) AS content
+    FROM dis JOIN extracted e USING (page_id) WHERE disposition = 'output'"""
+)
+def readable_pages(s: SparkSession, d: str) -> DataFrame:
+    """SNK4: every page that goes on, as Markdown for reading."""
+    return _output(s, d, "title", "hostname", "http_status").select("page_id", writers.readable_of().alias("content"))
+
+
+@query(
+    f"""WITH {_DISPOSED} SELECT e.version, mod, page_id, '| ' || array_to_string(list_transform([title, chapter, page, CAST(length(text) AS VARCHAR), source], lambda x: coalesce(replace(replace(x, '|', '\\|'), chr(10), ' '), '')), ' | ') || ' |' AS line
+    FROM dis JOIN extracted e USING (page_id) WHERE disposition = 'output'"""
+)
+def readable_index(s: SparkSession, d: str) -> DataFrame:
+    """SNK4: the lines of each version's index of those pages."""
+    rows = _output(s, d, "mod", "title", "chapter", "page").withColumn("text_length", F.length("text").cast("string"))
+    return rows.select("version", "mod", "page_id", writers.index_row("title", "chapter", "page", "text_length", "source").alias("line"))
+
+
+@query(
+    f"""WITH {_DISPOSED} SELECT page_id, CASE WHEN disposition = 'extraction_error' THEN 'error' ELSE 'skipped' END AS kind, disposition AS reason FROM dis WHERE disposition <> 'output'
+    UNION ALL SELECT e.page_id, 'warning', 'no ' || f FROM dis JOIN (SELECT page_id, unnest(list_filter([CASE WHEN coalesce(title, '') = '' THEN 'title' END, CASE WHEN coalesce(hostname, '') = '' THEN 'hostname' END, CASE WHEN http_status IS NULL THEN 'http_status' END], lambda x: x IS NOT NULL)) AS f FROM extracted) e USING (page_id) WHERE disposition = 'output'"""
+)
+def parse_report(s: SparkSession, d: str) -> DataFrame:
+    """SNK5, ERR2: what the extraction skipped, failed at, or found incomplete, a row each."""
+    pages = table(s, d, "extracted").select("page_id", "version", "source", "text", "title", "hostname", "http_status")
+    rows = fetch.disposition(pages, table(s, d, "source_sites").select("version", "exclude"))
+    out = F.col("disposition") == "output"
+    entry = lambda kind, reason: F.struct(kind.alias("kind"), reason.alias("reason"))
+    blank = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")) == ""
+    found = [F.when(~out, entry(F.when(F.col("disposition") == "extraction_error", "error").otherwise("skipped"), F.col("disposition")))]
+    found += [F.when(out & blank(c), entry(F.lit("warning"), F.lit(f"no {c}"))) for c in ("title", "hostname", "http_status")]
+    return rows.select("page_id", F.explode(F.array_compact(F.array(*found))).alias("x")).select("page_id", "x.*")
+
+
 # Cleaning ---------------------------------------------------------------------------------------------------------
 
 _LABEL_LIST = ", ".join("'" + x + "'" for x in SITE.labels)
@@ -334,6 +391,18 @@ def largest_cuts(s: SparkSession, d: str) -> DataFrame:
     return both.select("page_id", (F.col("chars_before") - F.col("chars_after")).cast("long").alias("delta")).orderBy(F.desc("delta"), "page_id").limit(10)
 
 
+@query(
+    f"""WITH {_BODIES}, f AS (SELECT 'pages' AS section, coalesce(skip_reason, 'output') AS item, count(*) AS n FROM rs GROUP BY 2
+    UNION ALL SELECT 'title', coalesce(r1_type, 'none'), count(*) FROM r1 GROUP BY 2 UNION ALL SELECT 'lines', rule, count(*) FROM ru WHERE rule IS NOT NULL GROUP BY 2
+    UNION ALL SELECT 'lines', 'R4b', count(*) FROM ru WHERE glued UNION ALL SELECT 'lines', 'suspect', count(*) FROM su WHERE is_suspect
+    UNION ALL SELECT 'pages with', 'recipes', count(*) FROM rs WHERE skip_reason IS NULL AND n_recipes > 0 UNION ALL SELECT 'pages with', 'short body', count(*) FROM rs WHERE skip_reason IS NULL AND chars_after < 200)
+    SELECT section, item, n FROM f WHERE n > 0"""
+)
+def cleaning_figures(s: SparkSession, d: str) -> DataFrame:
+    """AGG4, AGG5, SNK10, STR4: the counts of the cleaning report."""
+    return clean.cleaning_figures(table(s, d, "extracted").select("page_id", "title", "source", "markdown", "recipes"), SITE)
+
+
 @query(
     r"""SELECT page_id, CASE WHEN regexp_matches(coalesce(title, ''), '[:#"'',{}\[\]&*!|>%@`]') OR coalesce(title, '') <> trim(coalesce(title, ''), ' ') OR coalesce(title, '') = ''
     THEN '"' || replace(replace(coalesce(title, ''), '\', '\\'), '"', '\"') || '"' ELSE title END AS scalar, true AS round_trip FROM extracted"""
@@ -523,22 +592,6 @@ def indexed_versions(s: SparkSession, d: str) -> DataFrame:
     return table(s, d, "parents").select("version").union(table(s, d, "children").select("version")).distinct()
 
 
-@query("SELECT mod, chapter, page FROM parents WHERE version = '3.4.1' EXCEPT SELECT mod, chapter, page FROM parents WHERE version = '3.4.2'")
-def dropped_pages(s: SparkSession, d: str) -> DataFrame:
-    """SET2: pages of one version that the next lacks."""
-    p = table(s, d, "parents")
-    page = lambda v: p.where(F.col("version") == v).select("mod", "chapter", "page")
-    return page("3.4.1").subtract(page("3.4.2"))
-
-
-@query("SELECT mod, chapter FROM parents WHERE version = '3.4.1' INTERSECT SELECT mod, chapter FROM parents WHERE version = '4.0.0'")
-def lasting_chapters(s: SparkSession, d: str) -> DataFrame:
-    """SET3."""
-    p = table(s, d, "parents")
-    chapter = lambda v: p.where(F.col("version") == v).select("mod", "chapter")
-    return chapter("3.4.1").intersect(chapter("4.0.0"))
-
-
 _OWN = "title, section, source_url, token_count"
 _BYTES = "coalesce(CAST(octet_length(encode(CAST({0} AS VARCHAR))) AS VARCHAR) || ':' || CAST({0} AS VARCHAR), '-')"
 
@@ -559,35 +612,6 @@ def table_fingerprint(s: SparkSession, d: str) -> DataFrame:
     return index.fingerprint(table(s, d, "parents"), "parent_id", index.PARENT_COLUMNS)
 
 
-_KEYED = "SELECT mod || ':' || chapter || ':' || regexp_replace(page, '-[0-9a-z]+$', '') AS k, * FROM parents WHERE version = '{0}' QUALIFY row_number() OVER (PARTITION BY k ORDER BY parent_id) = 1"
-
-
-def _keyed(s: SparkSession, d: str, version: str) -> DataFrame:
-    from pyspark.sql import Window as W
-
-    p = table(s, d, "parents").where(F.col("version") == version)
-    p = p.withColumn("k", F.concat_ws(":", "mod", "chapter", F.regexp_replace("page", "-[0-9a-z]+$", "")))
-    return p.withColumn("_n", F.row_number().over(W.partitionBy("k").orderBy("parent_id"))).where("_n = 1").drop("_n")
-
-
-@query(
-    f"""WITH o AS ({_KEYED.format("3.4.1")}), n AS ({_KEYED.format("3.4.2")}) SELECT coalesce(o.k, n.k) AS k, CASE WHEN o.k IS NULL THEN 'inserted' WHEN n.k IS NULL THEN 'deleted'
-    WHEN (o.title, o.section, o.text) IS DISTINCT FROM (n.title, n.section, n.text) THEN 'updated' ELSE 'unchanged' END AS change FROM o FULL JOIN n ON o.k = n.k"""
-)
-def version_changes(s: SparkSession, d: str) -> DataFrame:
-    """IDX7, IDX8, JN11: what an update of one version's first sections by the next one's would do."""
-    return index.classify(_keyed(s, d, "3.4.1"), _keyed(s, d, "3.4.2"), ["k"], ["title", "section", "text"])
-
-
-@query(
-    f"""WITH o AS ({_KEYED.format("3.4.1")}), n AS ({_KEYED.format("3.4.2")}), c AS (SELECT CASE WHEN o.k IS NULL THEN 'inserted' WHEN n.k IS NULL THEN 'deleted'
-    WHEN (o.title, o.section, o.text) IS DISTINCT FROM (n.title, n.section, n.text) THEN 'updated' ELSE 'unchanged' END AS change FROM o FULL JOIN n ON o.k = n.k) SELECT change, count(*) AS n FROM c GROUP BY change"""
-)
-def change_counts(s: SparkSession, d: str) -> DataFrame:
-    """IDX7 to IDX9, HLP3."""
-    return report.counts_by(version_changes(s, d), "change")
-
-
 _STEPS = "v AS (SELECT version, lag(version) OVER (ORDER BY list_transform(string_split(version, '.'), lambda x: TRY_CAST(x AS INTEGER)), version) AS before FROM (SELECT DISTINCT version FROM parents WHERE version IS NOT NULL))"
 _PART = "concat_ws(':', mod, chapter, regexp_replace(page, '-[0-9a-z]+$', ''), regexp_extract(parent_id, ':(p[0-9]+)$', 1))"
 _ALL_CHANGES = f"""{_STEPS}, p AS (SELECT *, {_PART} AS k FROM parents), e AS (SELECT *, CAST(row_number() OVER (PARTITION BY version, k ORDER BY parent_id) AS INTEGER) AS copy FROM p),
@@ -605,7 +629,7 @@ def _steps(parents: DataFrame) -> DataFrame:
 
 
 @query(f"WITH {_ALL_CHANGES} SELECT version, k, copy, change FROM c")
-def all_version_changes(s: SparkSession, d: str) -> DataFrame:
+def version_changes(s: SparkSession, d: str) -> DataFrame:
     """IDX7, IDX8, JN11: what an update of each version by the next one would do, for every section.
 
     Pages that differ in the suffix only are told apart by ``copy``, their order within the version.
@@ -622,13 +646,13 @@ def all_version_changes(s: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"WITH {_ALL_CHANGES} SELECT version, change, count(*) AS n FROM c GROUP BY version, change")
-def all_change_counts(s: SparkSession, d: str) -> DataFrame:
+def change_counts(s: SparkSession, d: str) -> DataFrame:
     """IDX7 to IDX9, HLP3: of every version and every section."""
-    return report.counts_by(all_version_changes(s, d), "version", "change")
+    return report.counts_by(version_changes(s, d), "version", "change")
 
 
 @query(f"WITH {_STEPS} SELECT v.version, mod, chapter, page FROM parents p JOIN v ON p.version = v.before EXCEPT SELECT version, mod, chapter, page FROM parents")
-def all_dropped_pages(s: SparkSession, d: str) -> DataFrame:
+def dropped_pages(s: SparkSession, d: str) -> DataFrame:
     """SET2: pages of each version that the next lacks."""
     p = table(s, d, "parents").select("version", "mod", "chapter", "page")
     old = p.withColumnRenamed("version", "before").join(F.broadcast(_steps(p)), "before")
@@ -636,7 +660,7 @@ def all_dropped_pages(s: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"WITH {_STEPS} SELECT v.version, mod, chapter FROM parents p JOIN v ON p.version = v.before INTERSECT SELECT version, mod, chapter FROM parents")
-def all_lasting_chapters(s: SparkSession, d: str) -> DataFrame:
+def lasting_chapters(s: SparkSession, d: str) -> DataFrame:
     """SET3: chapters of each version that the next still has."""
     p = table(s, d, "parents").select("version", "mod", "chapter")
     old = p.withColumnRenamed("version", "before").join(F.broadcast(_steps(p)), "before")

@@ -8,9 +8,11 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-#: Rows up to which a lookup side may be broadcast. Beyond it joins shuffle.
+#: Rows and bytes up to which a lookup side may be broadcast. Beyond them joins shuffle.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
 
 _fallback: dict[str, str] = {}
 
@@ -53,13 +55,17 @@ def _remove(spark: SparkSession, path: str) -> None:
 
 
 def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if it has at most ``limit`` rows, else unchanged.
+    """``df`` with a broadcast hint if it has at most ``limit`` rows and ``BROADCAST_BYTES``, else unchanged.
 
-    ``df`` must be cheap to count (a durable table or a small scan); counting stops at ``limit + 1``.
+    ``df`` must be cheap to count (a durable table or a small scan); counting stops at ``limit + 1``. Columns of any
+    length are measured, where there are any.
     """
-    if df.limit(limit + 1).count() <= limit:
-        return F.broadcast(df)
-    return df
+    if df.limit(limit + 1).count() > limit:
+        return df
+    fixed = [f for f in df.schema if isinstance(f.dataType, (T.NumericType, T.BooleanType, T.DatetimeType))]
+    long = [F.coalesce(F.octet_length(F.col(f"`{f.name}`").cast("string")), F.lit(0)) for f in df.schema if f not in fixed]
+    size = df.agg(F.sum(sum(long, F.lit(8 * len(fixed)).cast("long")))).first()[0] if long else 0
+    return F.broadcast(df) if (size or 0) <= BROADCAST_BYTES else df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from docloom.errors import InputError
 from docloom.functions.text import yaml_unscalar
+from docloom.shared import durable
 
 ENTRY = "url string, chapter string, page_slug string, local_path string, http_status int, fetched_at string, error string"
 MANIFEST = f"version string, mod string, mod_slug string, source string, fetched_at string, urls array<struct<{', '.join(x.replace(' ', ': ', 1) for x in ENTRY.split(', '))}>>"
@@ -48,6 +49,20 @@ def read_json_lines(spark: SparkSession, path: str, schema: T.StructType, key: s
     return rows
 
 
+def read_loose_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Rows of JSON-lines files as they are: blank lines are passed over, fields may be missing, keys may be repeated.
+
+    A line that isn't JSON fails the job.
+    """
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+
+
+def read_page_files(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
+    """A row for each JSON file below ``root``, a page a file, and its ``path``; names that begin with ``_`` take no part."""
+    files = spark.read.schema(schema).option("recursiveFileLookup", True).option("pathGlobFilter", "[!_]*.json").option("multiLine", True).option("mode", "FAILFAST").json(root)
+    return files.select("*", F.col("_metadata.file_path").alias("path"))
+
+
 def read_markdown(spark: SparkSession, root: str) -> DataFrame:
     """version, mod, chapter, page (from the path), title, source_url (from the front matter) and body of each file."""
     files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.md").text(root, wholetext=True)
@@ -109,3 +124,26 @@ def fetch_pages(urls: DataFrame, fetcher: Fetcher, url: str = "url", interval: f
 
     host = F.regexp_extract("url", r"://([^/?#]*)", 1)
     return urls.select(F.col(url).alias("url")).repartition(host).mapInPandas(run, "url string, http_status int, body string, error string, fetched_at string")
+
+
+def sitemap_pages(sitemaps: DataFrame, fetcher: Fetcher, url: str = "url", interval: float = 0.5) -> DataFrame:
+    """``sitemap``, ``loc``: the pages that sitemaps name, those of nested indexes too, each as often as it is named.
+
+    One job a level of nesting. A sitemap is fetched once, however many indexes name it, so that circles end. An answer
+    that is neither a sitemap nor an index raises ``InputError``.
+    """
+    todo = durable(sitemaps.select(F.col(url).alias("url")).where("url IS NOT NULL").distinct())
+    seen, found = todo, None
+    while not todo.isEmpty():
+        answers = durable(fetch_pages(todo, fetcher, interval=interval))
+        bad = answers.where(~F.coalesce(is_sitemap(), F.lit(False))).limit(5).collect()
+        if bad:
+            raise InputError("no sitemap: " + ", ".join(f"{r.url} ({r.error or r.http_status})" for r in bad))
+        locations = sitemap_locations(answers).select(F.col("url").alias("sitemap"), "loc", "is_index")
+        pages = locations.where("NOT is_index").select("sitemap", "loc")
+        found = pages if found is None else found.unionByName(pages)
+        todo = durable(locations.where("is_index").select(F.col("loc").alias("url")).distinct().join(seen, "url", "left_anti"))
+        seen = seen.unionByName(todo)
+    if found is None:
+        raise InputError("no sitemaps")
+    return found

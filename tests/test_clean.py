@@ -112,3 +112,10 @@ def test_cleaning_twice_changes_nothing(spark, data):
     moved = once.join(twice, "page_id").where("markdown <> body").count()
     again = clean.clean_pages(twice.withColumnRenamed("body", "markdown").join(once.select("page_id", "recipes"), "page_id"), config)
     assert twice.join(again.select("page_id", again.body.alias("b2")), "page_id").where("body <> b2").count() == 0 and moved <= once.count()
+
+
+def test_cleaning_figures(spark):
+    some = pages(spark, ("T", "# T\nbody\nRecipe\nodd", None), ("T", "Site\nT\nbody", None), (None, None, None))
+    got = {(r.section, r.item): r.n for r in clean.cleaning_figures(some, Config(site_name="Site")).collect()}
+    assert got == {("pages", "output"): 2, ("pages", "missing_title_or_source"): 1, ("title", "A"): 1, ("title", "none"): 2, ("lines", "R4a"): 1, ("lines", "suspect"): 2, ("pages with", "short body"): 2, ("pages with", "site name first"): 1}
+    assert clean.cleaning_figures(some.limit(0), Config()).count() == 0

@@ -173,3 +173,23 @@ def test_distribution_without_groups(spark):
     r = distribution(df, "v").first()
     assert (r.n, r.median, r.p95, r.max) == (3001, values[1500], values[int(3001 * 0.95) - 1], 100_000)
     assert distribution(df.where("v IS NULL"), "v").count() <= 1
+
+
+def test_assembled_reports(spark):
+    rows = spark.createDataFrame([("a", 1)], "k string, n int")
+    text = report.assembled("Cleaning", {"Rules": rows, "Errors": rows.limit(0)})
+    assert text.startswith("# Cleaning\n\n## Rules\n\n| k | n |") and text.endswith("## Errors\n\nnone\n")
+
+
+def test_broadcasts_are_bounded(spark):
+    from docloom import shared
+
+    hinted = lambda df, **k: "broadcast" in shared.small(df, **k)._jdf.queryExecution().logical().toString().lower()
+    df = spark.range(10).withColumn("s", F.repeat(F.lit("x"), 1000))
+    assert hinted(df) and hinted(df.limit(0)) and not hinted(df, limit=9)
+    wide = shared.BROADCAST_BYTES
+    shared.BROADCAST_BYTES = 9_000
+    try:
+        assert not hinted(df) and hinted(df.drop("s"))
+    finally:
+        shared.BROADCAST_BYTES = wide

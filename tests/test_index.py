@@ -184,7 +184,7 @@ def test_every_section_of_every_version_is_classified(spark, tmp_path):
     made = [("3.9", "a-1x", 1, "t"), ("3.9", "a-1x", 2, "t"), ("3.9", "a-2x", 1, "u"), ("3.10", "a-3x", 1, "t"), ("3.10", "a-3x", 2, "new"), ("4.0", "a-4x", 2, "new"), ("4.0", "b-4x", 1, "t")]
     rows = [(f"{v}:m:c:{page}:p{n:02}", v, "m", "c", page, "T", "S", text) for v, page, n, text in made]
     spark.createDataFrame(rows, "parent_id string, version string, mod string, chapter string, page string, title string, section string, text string").write.parquet(str(tmp_path / "parents.parquet"))
-    got = {(r.version, r.k, r.copy, r.change) for r in queries()["all_version_changes"](spark, str(tmp_path)).collect()}
+    got = {(r.version, r.k, r.copy, r.change) for r in queries()["version_changes"](spark, str(tmp_path)).collect()}
     assert got == {("3.10", "m:c:a:p01", 1, "unchanged"), ("3.10", "m:c:a:p01", 2, "deleted"), ("3.10", "m:c:a:p02", 1, "updated"), ("4.0", "m:c:a:p01", 1, "deleted"), ("4.0", "m:c:a:p02", 1, "unchanged"), ("4.0", "m:c:b:p01", 1, "inserted")}
 
 

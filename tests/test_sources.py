@@ -89,3 +89,48 @@ def test_clean_stream(spark, data, tmp_path):
     got = spark.read.parquet(str(tmp_path / "out")).drop("batch")
     want = clean_pages(pages, Config())
     assert got.count() == want.count() and got.exceptAll(want.select(*got.columns)).count() == 0
+
+
+def test_page_files_and_loose_lines(spark, tmp_path):
+    folder = tmp_path / "pages" / "1" / "m"
+    folder.mkdir(parents=True)
+    (folder / "a.json").write_text('{"id": "a",\n "n": 1}')
+    (folder / "b.json").write_text('{"id": "b"}')
+    (folder / "_report.json").write_text('{"id": "no page"}')
+    (folder / "note.txt").write_text("no page")
+    rows = readers.read_page_files(spark, str(tmp_path / "pages"), SCHEMA).orderBy("id").collect()
+    assert [(r.id, r.n, r.path.rsplit("/", 1)[1]) for r in rows] == [("a", 1, "a.json"), ("b", None, "b.json")]
+    (tmp_path / "x.jsonl").write_text('{"id":"a","n":1}\n\n  \n{"id":"a"}\n')
+    assert [(r.id, r.n) for r in readers.read_loose_json_lines(spark, str(tmp_path / "x.jsonl"), SCHEMA).collect()] == [("a", 1), ("a", None)]
+
+
+def test_nested_sitemaps(spark, tmp_path):
+    log = tmp_path / "log"
+    log.mkdir()
+    index = lambda *u: "<sitemapindex>" + "".join(f"<sitemap><loc>{x}</loc></sitemap>" for x in u) + "</sitemapindex>"
+    urls = lambda *u: "<urlset>" + "".join(f"<url><loc>{x}</loc></url>" for x in u) + "</urlset>"
+    site = {"h://r": index("h://i", "h://s"), "h://i": index("h://r", "h://i", "h://s", "h://t"), "h://s": urls("h://1", "h://1", "h://2"), "h://t": urls("h://2"), "h://bad": "<html>", "h://lone": urls()}
+
+    def fetcher(url):
+        with open(log / url.rsplit("/", 1)[1], "a") as f:
+            f.write("x")
+        return (200, site[url], None) if url in site else (404, None, None)
+
+    seeds = lambda *u: spark.createDataFrame([(x,) for x in u], "url string")
+    got = sorted((r.sitemap, r["loc"]) for r in readers.sitemap_pages(seeds("h://r", None, "h://r"), fetcher, interval=0).collect())
+    assert got == [("h://s", "h://1"), ("h://s", "h://1"), ("h://s", "h://2"), ("h://t", "h://2")]
+    assert {p.name: p.read_text() for p in log.iterdir()} == dict.fromkeys("rist", "x")
+    assert readers.sitemap_pages(seeds("h://lone"), fetcher, interval=0).count() == 0
+    for wrong in ("h://bad", "h://none"):
+        with pytest.raises(InputError, match="no sitemap"):
+            readers.sitemap_pages(seeds(wrong), fetcher, interval=0)
+    with pytest.raises(InputError):
+        readers.sitemap_pages(seeds(), fetcher)
+
+
+def test_readable_pages(spark):
+    df = spark.createDataFrame([('A: "b"', "u", None, None, "x\n|y", "c"), (None, None, "h", 200, None, None)], "title string, source string, hostname string, http_status int, text string, chapter string")
+    rows = df.select(writers.readable_of().alias("t"), writers.index_row("title", "chapter", "text").alias("line")).collect()
+    assert rows[0].t == '---\ntitle: "A: \\"b\\""\nsource: u\nhostname: ""\nhttp_status: ""\ntext_length: 4\n---\n\n# A: "b"\n\nx\n|y\n'
+    assert rows[1].t == '---\ntitle: ""\nsource: ""\nhostname: h\nhttp_status: 200\ntext_length: 0\n---\n\n# \n\n\n'
+    assert [r.line for r in rows] == ['| A: "b" | c | x \\|y |', "|  |  |  |"]
